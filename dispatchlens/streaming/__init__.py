@@ -1,0 +1 @@
+"""Empty on purpose: the analysis is a batch job and has no stream to follow."""
