@@ -30,6 +30,14 @@ from dispatchlens.settings import Settings
 ISSUE_KEYS = ["issue_id", "previous_month", "current_month", "issue_change_pp", "issue_severity"]
 PERIODS = ("previous", "current")
 
+# What the five results read of an order, beside the issue's keys.
+INVESTIGATED_COLUMNS = [
+    "period_label", "purchase_month", "order_id", "is_delivery_kpi_eligible",
+    "is_handling_time_eligible", "is_late_delivery", "delivery_days", "late_delivery_days",
+    "promise_window_days", "approval_to_carrier_days", "carrier_to_customer_days",
+    "customer_state", "single_seller_id", "review_record_count", "average_review_score",
+]
+
 
 def issue_keys(comparisons: DataFrame) -> DataFrame:
     """The dimensions that every detail row of an issue carries."""

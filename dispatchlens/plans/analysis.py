@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dispatchlens.functions.months import month_argument
 from dispatchlens.operators import cleaning, detection, facts, investigation
+from dispatchlens.plans.shared import materialise
 from dispatchlens.settings import Settings
 
 
@@ -131,18 +132,48 @@ class Analysis:
         return issues.filter(F.col("current_month") == F.lit(month_argument(month)))
 
     def investigate(self, month: str | date | None = None) -> "Investigation":
+        """All issues, or the one of ``month``; one lazy plan per result."""
         return Investigation(self, self.issue_keys(month))
 
+    def investigate_worst(self) -> "Investigation":
+        worst = self.delivery_comparisons.filter("is_delivery_issue")
+        worst = worst.orderBy(*detection.worst_first()).limit(1)
+        return Investigation(self, investigation.issue_keys(worst))
+
+    def investigate_shared(self, month: str | date | None = None) -> "Investigation":
+        """Like :meth:`investigate`, for consumers of several results.
+
+        Comparisons and enriched orders are written to the shared folder first;
+        the five results then aggregate that one table instead of each deriving
+        it from the raw tables.
+        """
+        frozen = Analysis(self.raw, self.settings, self._manual)
+        frozen.delivery_comparisons = materialise(self.delivery_comparisons, "comparisons")
+        issues = frozen.issue_keys(month)
+        enriched = investigation.with_state(
+            Investigation(frozen, issues).attributed_reviewed_orders, self.customers
+        ).select(*investigation.ISSUE_KEYS, *investigation.INVESTIGATED_COLUMNS)
+        return Investigation(frozen, issues, materialise(enriched, "investigation_orders"))
+
 
 class Investigation:
-    """The five results for a table of issues."""
+    """The five results for a table of issues.
 
-    def __init__(self, analysis: Analysis, issues: DataFrame) -> None:
+    ``enriched`` are investigation orders that already carry state, single
+    seller and review score; without them each result looks up what it needs.
+    """
+
+    def __init__(
+        self, analysis: Analysis, issues: DataFrame, enriched: DataFrame | None = None
+    ) -> None:
         self.analysis = analysis
         self.issues = issues
+        self._enriched = enriched
 
     @cached_property
     def orders(self) -> DataFrame:
+        if self._enriched is not None:
+            return self._enriched
         a = self.analysis
         return investigation.investigation_orders(a.timed_orders, self.issues, a.settings)
 
