@@ -27,17 +27,26 @@ def _ordered(frame: DataFrame, order: str, skip: list[str], name: str) -> DataFr
     return frame.groupBy("issue_id").agg(rows.alias(name))
 
 
+def _attach(issues: DataFrame, details: DataFrame) -> DataFrame:
+    """Add the arrays of ``details``; an issue without rows gets empty ones."""
+    joined = issues.join(details, "issue_id", "left")
+    arrays = [f for f in details.schema.fields if f.name != "issue_id"]
+    return joined.withColumns(
+        {f.name: F.coalesce(F.col(f.name), F.array().cast(f.dataType)) for f in arrays}
+    )
+
+
 def issue_overview(comparisons: DataFrame, periods: DataFrame, impact: DataFrame) -> DataFrame:
     """Issue, its periods and its impact."""
     stages = _ordered(periods, "period_month", ["period_month"], "periods")
     effect = impact.select("issue_id", F.struct(*_fields(impact, [])).alias("impact"))
-    return _issue(comparisons).join(stages, "issue_id", "left").join(effect, "issue_id", "left")
+    return _attach(_issue(comparisons), stages).join(effect, "issue_id", "left")
 
 
 def issue_states_document(comparisons: DataFrame, states: DataFrame) -> DataFrame:
     """Issue and its ranked states."""
     ranked = _ordered(states, "contributor_rank", ["contributor_rank"], "states")
-    return _issue(comparisons).join(ranked, "issue_id", "left")
+    return _attach(_issue(comparisons), ranked)
 
 
 def issue_sellers_document(
@@ -46,7 +55,7 @@ def issue_sellers_document(
     """Issue, its single-seller coverage and its ranked sellers."""
     covered = _ordered(coverage, "period_month", ["period_month"], "coverage")
     ranked = _ordered(sellers, "contributor_rank", ["contributor_rank"], "sellers")
-    return _issue(comparisons).join(covered, "issue_id", "left").join(ranked, "issue_id", "left")
+    return _attach(_attach(_issue(comparisons), covered), ranked)
 
 
 def as_json(document: DataFrame) -> DataFrame:
