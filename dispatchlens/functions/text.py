@@ -24,11 +24,6 @@ WHITESPACE = "".join(
     )
 )
 
-_TIMESTAMP_SHAPE = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?)?$"
-)
-
 
 def normalize(column: Column) -> Column:
     """Missing tokens to null, surrounding white space off, '' to null."""
@@ -44,13 +39,17 @@ def parse_number(column: Column, target: T.DataType) -> Column:
 def parse_integer(column: Column) -> Column:
     """Whole number in ``column``; '1.0' is one, '1.5' is not a whole number."""
     exact = column.try_cast(T.DecimalType(38, 18))
-    return F.when(exact == F.floor(exact), exact.try_cast(T.LongType()))
+    from_decimal = F.when(exact == F.floor(exact), exact.try_cast(T.LongType()))
+    return F.coalesce(column.try_cast(T.LongType()), from_decimal)
 
 
 def parse_timestamp(column: Column) -> Column:
-    """Timestamp without zone in ``column``, or null when it is not one."""
-    shaped = F.when(column.rlike(_TIMESTAMP_SHAPE), column)
-    return shaped.try_cast(T.TimestampNTZType())
+    """Timestamp without zone in ``column``, or null when it is not one.
+
+    A cast would also take a bare year or month, which is shorter than a date.
+    """
+    dated = F.when(F.length(column) >= len("yyyy-MM-dd"), column)
+    return dated.try_cast(T.TimestampNTZType())
 
 
 def is_invalid(raw: Column, parsed: Column) -> Column:

@@ -39,30 +39,42 @@ def normalize_strings(frame: DataFrame) -> DataFrame:
     )
 
 
-def _parsed(name: str, target: T.DataType | None, table: str) -> Column:
-    """Text column ``name`` as ``target``; a value that is none fails the job."""
-    text = tx.normalize(F.col(name))
-    if target is None or isinstance(target, T.StringType):
-        return text
+def _parse(text: Column, target: T.DataType) -> Column:
     if isinstance(target, T.TimestampNTZType):
-        parsed = tx.parse_timestamp(text)
-    elif isinstance(target, T.IntegralType):
-        parsed = tx.parse_integer(text).try_cast(target)
-    else:
-        parsed = tx.parse_number(text, target)
-    return tx.strict(text, parsed, f"{table}.{name}")
+        return tx.parse_timestamp(text)
+    if isinstance(target, T.IntegralType):
+        return tx.parse_integer(text).try_cast(target)
+    return tx.parse_number(text, target)
 
 
 def typed(frame: DataFrame, table: str, types: dict[str, T.DataType | None]) -> DataFrame:
-    """Select ``types``' columns with their types; ``None`` keeps an id as it is."""
-    if all(isinstance(f.dataType, T.StringType) for f in frame.schema.fields):
-        columns = {name: _parsed(name, target, table) for name, target in types.items()}
-    else:
-        columns = {
-            name: F.col(name) if target is None else F.col(name).cast(target)
-            for name, target in types.items()
-        }
-    return frame.select(*[column.alias(name) for name, column in columns.items()])
+    """Select ``types``' columns with their types; ``None`` keeps an id as it is.
+
+    Text is normalised, parsed and checked in three projections, so that each
+    value is normalised and parsed once however often it is referred to.
+    """
+    if not all(isinstance(f.dataType, T.StringType) for f in frame.schema.fields):
+        return frame.select(
+            *[
+                (F.col(c) if target is None else F.col(c).cast(target)).alias(c)
+                for c, target in types.items()
+            ]
+        )
+    text = normalize_strings(frame.select(*types))
+    to_parse = {
+        c: target
+        for c, target in types.items()
+        if target is not None and not isinstance(target, T.StringType)
+    }
+    parsed = text.withColumns({f"_{c}": _parse(F.col(c), t) for c, t in to_parse.items()})
+    return parsed.select(
+        *[
+            tx.strict(F.col(c), F.col(f"_{c}"), f"{table}.{c}").alias(c)
+            if c in to_parse
+            else F.col(c)
+            for c in types
+        ]
+    )
 
 
 _TEXT, _INT, _SHORT, _TIME = T.StringType(), T.IntegerType(), T.ShortType(), T.TimestampNTZType()
