@@ -124,17 +124,25 @@ FACT_COLUMNS = [
 ]
 
 
-def order_facts(measures: DataFrame, customers: DataFrame) -> DataFrame:
-    """Order measures with the customer's identity and place."""
+def order_facts(
+    orders: DataFrame,
+    customers: DataFrame,
+    items: DataFrame,
+    payments: DataFrame,
+    reviews: DataFrame,
+) -> DataFrame:
+    """Order measures with the customer's identity and place.
+
+    The customer comes first, while the rows are narrow; the result then stays
+    partitioned by order.
+    """
     place = customers.select(
         "customer_id", "customer_unique_id", "customer_city", "customer_state"
     )
-    purchased = F.to_date("order_purchase_timestamp")
-    return (
-        measures.join(place, "customer_id")
-        .withColumn("purchase_date", purchased)
-        .select(*FACT_COLUMNS)
+    placed = orders.join(place, "customer_id").withColumn(
+        "purchase_date", F.to_date("order_purchase_timestamp")
     )
+    return order_measures(placed, items, payments, reviews).select(*FACT_COLUMNS)
 
 
 def monthly_kpis(orders: DataFrame, settings: Settings) -> DataFrame:

@@ -23,7 +23,6 @@ from dispatchlens.functions.measures import (
     rounded,
 )
 from dispatchlens.operators.detection import detected_issues
-from dispatchlens.operators.facts import with_reviews
 from dispatchlens.operators.keyed import broadcast_months
 from dispatchlens.settings import Settings
 
@@ -114,25 +113,16 @@ def single_seller_orders(items: DataFrame) -> DataFrame:
 
 
 def with_state(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    if "customer_state" in orders.columns:
-        return orders
+    """Orders with the state they go to."""
     return orders.join(customers.select("customer_id", "customer_state"), "customer_id")
 
 
 def with_single_seller(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders with their only seller, null where there are none or several."""
-    if "single_seller_id" in orders.columns:
-        return orders
     seller = single_seller_orders(items).withColumnRenamed("seller_id", "single_seller_id")
     return orders.join(seller, "order_id", "left")
 
 
-def with_review_score(orders: DataFrame, reviews: DataFrame) -> DataFrame:
-    if "average_review_score" in orders.columns:
-        return orders
-    return with_reviews(orders, reviews)
-
-
 def issue_periods(orders: DataFrame) -> DataFrame:
     """Delivery stages per issue and period; ``orders`` carry review scores."""
     eligible = F.col("is_delivery_kpi_eligible")

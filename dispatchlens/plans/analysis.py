@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 from datetime import date
 from functools import cached_property
 
@@ -97,7 +98,9 @@ class Analysis:
 
     @cached_property
     def order_facts(self) -> DataFrame:
-        return facts.order_facts(self.order_measures, self.customers)
+        return facts.order_facts(
+            self.timed_orders, self.customers, self.order_items, self.payment_records, self.reviews
+        )
 
     @cached_property
     def monthly_kpis(self) -> DataFrame:
@@ -140,15 +143,24 @@ class Analysis:
         worst = worst.orderBy(*detection.worst_first()).limit(1)
         return Investigation(self, investigation.issue_keys(worst))
 
-    def investigate_shared(self, month: str | date | None = None) -> "Investigation":
-        """Like :meth:`investigate`, for consumers of several results.
+    def detected(self) -> "Analysis":
+        """This analysis with detection done: its few rows are written and read back.
 
-        Comparisons and enriched orders are written to the shared folder first;
-        the five results then aggregate that one table instead of each deriving
-        it from the raw tables.
+        For consumers that need the issues more than once, each of which would
+        otherwise repeat the detection over all orders.
         """
-        frozen = Analysis(self.raw, self.settings, self._manual)
+        frozen = copy.copy(self)
+        frozen.__dict__.pop("delivery_issues", None)
         frozen.delivery_comparisons = materialise(self.delivery_comparisons, "comparisons")
+        return frozen
+
+    def investigate_shared(self, month: str | date | None = None) -> "Investigation":
+        """Like :meth:`investigate`, for consumers of all five results.
+
+        Detection and the enriched orders of the issues' months are written to
+        the shared folder first; the results then aggregate that one table.
+        """
+        frozen = self.detected()
         issues = frozen.issue_keys(month)
         enriched = investigation.with_state(
             Investigation(frozen, issues).attributed_reviewed_orders, self.customers
@@ -177,21 +189,34 @@ class Investigation:
         a = self.analysis
         return investigation.investigation_orders(a.timed_orders, self.issues, a.settings)
 
+    def _carry(self, column: str) -> bool:
+        """Stored or enriched orders bring looked-up columns along."""
+        return column in self.orders.columns
+
+    def _with_review_score(self, orders: DataFrame) -> DataFrame:
+        if self._carry("average_review_score"):
+            return orders
+        return facts.with_reviews(orders, self.analysis.reviews)
+
     @cached_property
     def reviewed_orders(self) -> DataFrame:
-        return investigation.with_review_score(self.orders, self.analysis.reviews)
+        return self._with_review_score(self.orders)
 
     @cached_property
     def placed_orders(self) -> DataFrame:
+        if self._carry("customer_state"):
+            return self.orders
         return investigation.with_state(self.orders, self.analysis.customers)
 
     @cached_property
     def attributed_orders(self) -> DataFrame:
+        if self._carry("single_seller_id"):
+            return self.orders
         return investigation.with_single_seller(self.orders, self.analysis.order_items)
 
     @cached_property
     def attributed_reviewed_orders(self) -> DataFrame:
-        return investigation.with_review_score(self.attributed_orders, self.analysis.reviews)
+        return self._with_review_score(self.attributed_orders)
 
     @cached_property
     def periods(self) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dispatchlens.functions.measures import count_where
@@ -17,12 +17,20 @@ def diagnosis(inv: Investigation) -> DataFrame:
     return decision.issue_diagnosis(inv.periods, inv.impact, inv.states, inv.analysis.settings)
 
 
+def top_rows(inv: Investigation) -> DataFrame:
+    return decision.issue_top_rows(inv.states, inv.sellers, inv.analysis.settings)
+
+
+def bi_star(inv: Investigation) -> DataFrame:
+    return decision.bi_issue_star(inv.analysis.delivery_comparisons, inv.states, inv.sellers)
+
+
 def brief(inv: Investigation) -> DataFrame:
     settings = inv.analysis.settings
     return decision.issue_brief(
         diagnosis(inv),
         decision.issue_kpi_table(inv.periods),
-        decision.issue_top_rows(inv.states, inv.sellers, settings),
+        top_rows(inv),
         inv.coverage,
         settings,
     )
@@ -32,6 +40,10 @@ def overview_document(inv: Investigation) -> DataFrame:
     return documents.issue_overview(inv.analysis.delivery_comparisons, inv.periods, inv.impact)
 
 
+def states_document(inv: Investigation) -> DataFrame:
+    return documents.issue_states_document(inv.analysis.delivery_comparisons, inv.states)
+
+
 def sellers_document(inv: Investigation) -> DataFrame:
     return documents.issue_sellers_document(
         inv.analysis.delivery_comparisons, inv.coverage, inv.sellers
@@ -39,25 +51,40 @@ def sellers_document(inv: Investigation) -> DataFrame:
 
 
 def issue_states_export(inv: Investigation) -> DataFrame:
-    """Ranked states of every issue, without the rank."""
-    return inv.states.orderBy("current_month", "contributor_rank").drop("contributor_rank")
+    """Ranked states of every issue; the order replaces the rank."""
+    return inv.states.drop("contributor_rank")
 
 
 def issue_sellers_export(inv: Investigation) -> DataFrame:
-    return inv.sellers.orderBy("current_month", "contributor_rank").drop("contributor_rank")
+    return inv.sellers.drop("contributor_rank")
 
 
 def exports(analysis: Analysis) -> dict[str, DataFrame]:
-    """The four BI data sets, ordered."""
-    inv = analysis.investigate()
+    """The four BI data sets."""
+    detected = analysis.detected()
+    inv = detected.investigate()
     return {
-        "monthly_kpis": analysis.monthly_kpis.orderBy("purchase_month"),
-        "delivery_comparisons": analysis.delivery_comparisons.orderBy("current_month"),
+        "monthly_kpis": analysis.monthly_kpis,
+        "delivery_comparisons": detected.delivery_comparisons,
         "delivery_issue_states": issue_states_export(inv),
         "delivery_issue_sellers": issue_sellers_export(inv),
     }
 
 
+def export_order(name: str) -> list[Column]:
+    """Sort keys of a BI data set: by month, and by rank within the month."""
+    if name == "monthly_kpis":
+        return [F.asc("purchase_month")]
+    if name == "delivery_comparisons":
+        return [F.asc("current_month")]
+    return [
+        F.asc("current_month"),
+        F.desc("excess_late_orders"),
+        F.desc("current_eligible_orders"),
+        F.asc(EXPORT_KEYS[name][1]),
+    ]
+
+
 # Columns that identify an order or a person.
 IDENTIFYING_COLUMNS = ["order_id", "customer_id", "customer_unique_id", "customer_city"]
 

@@ -20,11 +20,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no other run uses."""
+    run = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/dispatchlens/{name}/{run}"
+
+
 def materialise(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` written once under a fresh path, and read back."""
     spark = frame.sparkSession
-    run = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
-    path = f"{shared_folder(spark)}/dispatchlens/{name}/{run}"
+    path = fresh_path(spark, name)
     frame.write.mode("errorifexists").parquet(path)
-    # The stored schema makes every column nullable; nothing else changes.
     return spark.read.schema(frame.schema).parquet(path)

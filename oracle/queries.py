@@ -787,6 +787,7 @@ def oracle_sql() -> dict[str, str]:
         "issue_seller_coverage": "SELECT * FROM coverage_t",
         "issue_sellers": "SELECT * FROM sellers_ranked_t WHERE current_month = DATE '1997-02-01'",
         "issue_states_all": "SELECT * EXCLUDE (contributor_rank) FROM states_t",
+        "issue_states_stored": "SELECT * EXCLUDE (contributor_rank) FROM states_t",
         "issue_sellers_all": "SELECT * EXCLUDE (contributor_rank) FROM sellers_ranked_t",
         "issue_diagnosis": DIAGNOSIS,
         "issue_kpi_table": KPI_TABLE,
