@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from dispatchlens.functions import text as tx
 from dispatchlens.functions.measures import days_between, month_of, never_null
-from dispatchlens.operators.keyed import HOT_KEY_ROWS, left_join_per_key
+from dispatchlens.operators.keyed import HOT_KEY_ROWS, join_lookup, left_join_per_key
 from dispatchlens.schemas import DAYS, MONEY, ORDER_TIMESTAMPS, PRODUCT_MEASUREMENTS
 from dispatchlens.settings import Settings
 
@@ -144,11 +144,23 @@ def clean_reviews(raw: DataFrame) -> DataFrame:
 
 
 def category_lookup(raw: DataFrame) -> DataFrame:
-    return typed(
+    """Official translation per category; a category listed twice fails the job."""
+    category = F.col("product_category_name")
+    translations = typed(
         raw,
         "category_translation",
         {"product_category_name": _TEXT, "product_category_name_english": _TEXT},
     )
+    repeated = F.raise_error(F.concat(F.lit("category_translation repeats "), category))
+    return (
+        translations.filter(category.isNotNull())
+        .groupBy("product_category_name")
+        .agg(F.count("*").alias("_n"), F.min("product_category_name_english").alias("_english"))
+        .select(
+            "product_category_name",
+            F.when(F.col("_n") > 1, repeated).otherwise(F.col("_english")).alias("official"),
+        )
+    )
 
 
 def clean_products(
@@ -174,12 +186,6 @@ def clean_products(
             **{c: MONEY for c in PRODUCT_MEASUREMENTS},
         },
     )
-    # The lookup is small in practice; Spark broadcasts it below its size
-    # threshold and splits skewed categories of the shuffled join above it.
-    official = category_lookup(translation).select(
-        "product_category_name",
-        F.col("product_category_name_english").alias("official"),
-    )
     category = F.col("product_category_name")
     by_hand = F.lit(None).cast("string")
     for name, english in manual.items():
@@ -189,7 +195,8 @@ def clean_products(
         .when(F.col("official").isNotNull(), "official")
         .when(by_hand.isNotNull(), "manual")
     )
-    return products.join(official, "product_category_name", "left").select(
+    translated = join_lookup(products, category_lookup(translation), "product_category_name")
+    return translated.select(
         "product_id",
         "product_category_name",
         F.col("product_name_lenght").alias("product_name_length"),

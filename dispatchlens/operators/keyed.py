@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 HOT_KEY_ROWS = 1_000_000
 _SPREAD = 1_024
 
+# Rows up to which a counted lookup is broadcast.
+LOOKUP_BROADCAST_ROWS = 100_000
+
 
 def broadcast_months(frame: DataFrame, rows_bound: int, limit: int = 12_000) -> DataFrame:
     """Broadcast a table that provably has at most ``rows_bound`` rows.
@@ -19,6 +22,21 @@ def broadcast_months(frame: DataFrame, rows_bound: int, limit: int = 12_000) ->
     return F.broadcast(frame) if rows_bound <= limit else frame
 
 
+def join_lookup(
+    rows: DataFrame, lookup: DataFrame, key: str, broadcast_rows: int = LOOKUP_BROADCAST_ROWS
+) -> DataFrame:
+    """Left join ``rows`` to a lookup with one row per key.
+
+    The lookup is counted first (up to the limit, never further).  Within the
+    limit it is broadcast and ``rows`` stay where they are; beyond it, the rows
+    of each key are counted and joined with hot keys spread.
+    """
+    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return rows.join(F.broadcast(lookup), key, "left")
+    sizes = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+    return left_join_per_key(rows, sizes.join(lookup, key), key, "_rows")
+
+
 def left_join_per_key(
     rows: DataFrame,
     per_key: DataFrame,

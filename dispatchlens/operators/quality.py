@@ -499,8 +499,12 @@ def purchase_coverage(orders: DataFrame, settings: Settings) -> DataFrame:
 # Reports
 
 
-def cleaning_summary(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows of every cleaned table, and the defects that cleaning flagged."""
+def cleaning_summary(tables: dict[str, DataFrame], sequences: DataFrame) -> DataFrame:
+    """Rows of every cleaned table, and the defects that cleaning flagged.
+
+    ``sequences`` are the payment sequences per order; with them the payments
+    need not carry their order's flags.
+    """
     delivered = F.col("order_status") == "delivered"
     purchase = F.col("order_purchase_timestamp")
     approved = F.col("order_approved_at")
@@ -531,10 +535,6 @@ def cleaning_summary(tables: dict[str, DataFrame]) -> DataFrame:
     manual = F.col("category_translation_source") == "manual"
     categories = products.filter(manual).select("product_category_name").distinct()
     payments = tables["payments"]
-    per_order = payments.groupBy("order_id").agg(
-        F.bool_or("payment_sequence_start_missing").alias("start"),
-        F.bool_or("payment_sequence_internal_gap").alias("gap"),
-    )
     reviews = tables["reviews"]
     reviews_per_order = reviews.groupBy("order_id").agg(F.count("*").alias("reviews"))
     people = tables["customers"].groupBy("customer_unique_id").agg(F.count("*").alias("records"))
@@ -565,10 +565,14 @@ def cleaning_summary(tables: dict[str, DataFrame]) -> DataFrame:
                 },
             ),
             _metrics(
-                per_order.filter(known),
+                sequences.filter(known),
                 {
-                    "orders whose payments start above one": count_where(F.col("start")),
-                    "orders with payment gaps": count_where(F.col("gap")),
+                    "orders whose payments start above one": count_where(
+                        F.col("payment_sequence_start_missing")
+                    ),
+                    "orders with payment gaps": count_where(
+                        F.col("payment_sequence_internal_gap")
+                    ),
                 },
             ),
             _metrics(reviews, {"rows of reviews": F.count("*")}),

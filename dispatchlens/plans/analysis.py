@@ -58,6 +58,10 @@ class Analysis:
         """Payments without the flags that concern the whole order."""
         return cleaning.clean_payments(self.raw["payments"])
 
+    @cached_property
+    def payment_sequences(self) -> DataFrame:
+        return cleaning.payment_sequences(self.payment_records)
+
     @cached_property
     def payments(self) -> DataFrame:
         return cleaning.payment_flags(self.payment_records)

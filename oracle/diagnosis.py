@@ -32,8 +32,8 @@ FROM (
     SELECT issue_id, previous_month, current_month, issue_change_pp, issue_severity,
         delivery_days_change, handling_days_change, carrier_days_change, promise_window_change,
         review_score_change, late_order_change, eligible_order_change,
-        excess {CENT} AS excess_late_orders, {_SHARE} AS top_two_state_share_pct,
-        coalesce(focus_states, '') AS focus_states
+        excess {CENT} AS excess_late_orders, {_SHARE} AS top_two_state_share_pct, focus_states
+    FROM (SELECT * REPLACE (coalesce(top_two, 0) AS top_two, coalesce(focus_states, '') AS focus_states)
     FROM (SELECT {KEYS}, {_delta("average_delivery_days")} AS delivery_days_change,
             {_delta("average_handling_days")} AS handling_days_change,
             {_delta("average_carrier_to_customer_days")} AS carrier_days_change,
@@ -49,7 +49,7 @@ FROM (
     LEFT JOIN (SELECT issue_id, CAST({_TOP_TWO_C} AS BIGINT) AS top_two,
             string_agg(customer_state, ', ' ORDER BY contributor_rank)
                 FILTER (WHERE contributor_rank <= 3) AS focus_states
-          FROM states_t GROUP BY issue_id) USING (issue_id))"""
+          FROM states_t GROUP BY issue_id) USING (issue_id)))"""
 
 _KPI_ROWS = [
     ("Delivery-eligible orders", "delivery_eligible_orders", "orders"),

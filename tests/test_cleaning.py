@@ -145,6 +145,22 @@ def test_products(spark):
     assert [r[0] for r in cleaning.untranslated_categories(products).collect()] == ["novo"]
 
 
+def test_lookup_beyond_the_broadcast_limit_gives_the_same(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
+    lookup = spark.createDataFrame([("a", "x"), ("c", "y")], "k string, name string")
+    for limit in (10, 1):
+        got = keyed.join_lookup(rows, lookup, "k", broadcast_rows=limit).collect()
+        assert sorted((r.v, r.name) for r in got) == [(1, "x"), (2, "x"), (3, None), (4, None)]
+
+
+def test_a_category_translated_twice_fails(spark):
+    twice = [{"product_category_name": "x", "product_category_name_english": e} for e in "ab"]
+    lookup = text_table(spark, "category_translation", twice)
+    products = text_table(spark, "products", [{"product_id": "1", "product_category_name": "x"}])
+    with pytest.raises(PySparkException, match="repeats x"):
+        cleaning.clean_products(products, lookup).collect()
+
+
 def payments_of(spark, *records):
     rows = [
         {

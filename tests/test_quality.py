@@ -242,7 +242,7 @@ def test_report_verdict(spark):
 def test_cleaning_summary(spark):
     settings = Settings()
     items = items_of(spark, ("a", "p", "s", "1.00"))
-    payments = cleaning.payment_flags(payments_of(spark, ("a", 2, 0, "0.00"), ("a", 4, 1, "1.00")))
+    payments = payments_of(spark, ("a", 2, 0, "0.00"), ("a", 4, 1, "1.00"))
     orders = cleaning.clean_orders(
         text_table(
             spark,
@@ -267,7 +267,8 @@ def test_cleaning_summary(spark):
                     [("1", "u"), ("2", "u")], "customer_id string, customer_unique_id string"
                 ),
                 "sellers": spark.createDataFrame([("s",)], "seller_id string"),
-            }
+            },
+            cleaning.payment_sequences(payments),
         )
     )
     assert len(got) == 28
