@@ -48,9 +48,8 @@ def normal_rows(names: list[str], rows) -> list[tuple]:
     return sorted(tuple(f"{_kind(r[i])}:{_plain(r[i])}" for i in order) for r in rows)
 
 
-def compare(spark, connection, folder: str, query, statement: str) -> str | None:
+def compare(frame, connection, statement: str) -> str | None:
     """None if equal, else what differs first."""
-    frame = query(spark, folder)
     actual = normal_rows(frame.columns, [tuple(r) for r in frame.collect()])
     result = connection.execute(statement)
     names = [d[0] for d in result.description]
@@ -85,7 +84,7 @@ def main(arguments: list[str]) -> int:
             print(f"rows {name}: {len(rows)} ({time.time() - start:.1f} s)", flush=True)
             continue
         try:
-            difference = compare(spark, connection, folder, query, statements[name])
+            difference = compare(query(spark, folder), connection, statements[name])
         except Exception as error:  # report and go on to the next query
             difference = f"{type(error).__name__}: {str(error)[:700]}"
         bad += difference is not None

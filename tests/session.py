@@ -11,7 +11,7 @@ def local_session() -> SparkSession:
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("dispatchlens-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
