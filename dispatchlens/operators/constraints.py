@@ -6,6 +6,7 @@ table are counted in one scan; key and reference rules are counted by grouping.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -173,7 +174,7 @@ def row_rules(settings: Settings, lengths: Lengths = Lengths()) -> dict[str, dic
 
 
 def constraint_report(
-    tables: dict[str, DataFrame], settings: Settings, lengths: Lengths = Lengths()
+    tables: Mapping[str, DataFrame], settings: Settings, lengths: Lengths = Lengths()
 ) -> DataFrame:
     """Failures of every rule: rows for row and key rules, keys for references."""
     by_row = [

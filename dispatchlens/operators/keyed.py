@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # Rows of one key beyond which the key is spread over many tasks.
 HOT_KEY_ROWS = 1_000_000
-_SPREAD = 1_024
 
 # Rows up to which a counted lookup is broadcast.
 LOOKUP_BROADCAST_ROWS = 100_000
@@ -48,38 +47,29 @@ def left_join_per_key(
 
     ``per_key[key_rows]`` is the number of ``rows`` of that key.  Keys with more
     than ``hot_key_rows`` rows are at most ``total rows / hot_key_rows`` in
-    number, so their entries are broadcast and their rows never meet in one
-    task; all other keys go through an ordinary shuffled join.  The result is
-    the plain left join.
+    number, so their entries are broadcast and their rows stay where they are;
+    rows of all other keys go through an ordinary shuffled join, in which no key
+    has more than ``hot_key_rows`` rows.  The result is the plain left join.
+
+    Where there are no hot keys, adaptive execution drops their branch.
     """
     values = [c for c in per_key.columns if c not in (key, key_rows)]
-    hot = per_key.filter(F.col(key_rows) > hot_key_rows).select(
-        F.col(key),
-        F.struct(*values).alias("_hot"),
-    )
-    cold = per_key.filter(F.col(key_rows) <= hot_key_rows).select(
-        F.col(key).alias("_cold_key"),
-        F.lit(0).cast("long").alias("_cold_slot"),
-        F.struct(*values).alias("_cold"),
-    )
-    found = F.col("_hot").isNotNull()
-    marked = (
-        rows.join(F.broadcast(hot), key, "left")
-        # A hot row looks up nothing in the second join; its slot spreads it.
-        .withColumn("_key", F.when(~found, F.col(key)))
-        .withColumn(
-            "_slot",
-            F.when(found | F.col(key).isNull(), 1 + F.monotonically_increasing_id() % _SPREAD)
-            .otherwise(F.lit(0)),
-        )
-    )
-    joined = marked.join(
-        cold,
-        (F.col("_key") == F.col("_cold_key")) & (F.col("_slot") == F.col("_cold_slot")),
-        "left",
+    is_hot = F.col(key_rows) > hot_key_rows
+    hot = F.broadcast(per_key.filter(is_hot).select(key, *values))
+    cold = per_key.filter(~is_hot).select(key, *values)
+
+    hot_rows = rows.join(hot, key)
+    cold_rows = (
+        rows.filter(F.col(key).isNotNull())
+        .join(hot.select(key), key, "left_anti")
+        .join(cold, key, "left")
     )
-    value = F.coalesce("_hot", "_cold")
-    return joined.select(
-        *[F.col(c) for c in rows.columns],
-        *[value.getField(c).alias(c) for c in values],
+    nothing = {c: F.lit(None).cast(per_key.schema[c].dataType) for c in values}
+    keyless_rows = rows.filter(F.col(key).isNull()).withColumns(nothing)
+
+    columns = [*rows.columns, *values]
+    return (
+        hot_rows.select(columns)
+        .unionByName(cold_rows.select(columns))
+        .unionByName(keyless_rows.select(columns))
     )

@@ -7,7 +7,7 @@ deduplicate before the shuffle, so a value that most rows share stays cheap.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -61,7 +61,7 @@ def _metrics(frame: DataFrame, aggregates: dict[str, Column]) -> DataFrame:
 
 
 def source_preflight(
-    frames: dict[str, DataFrame], contract: dict[str, list[str]] = RAW_COLUMNS
+    frames: Mapping[str, DataFrame], contract: dict[str, list[str]] = RAW_COLUMNS
 ) -> DataFrame:
     """Per source: records, and header columns that are missing or unexpected."""
 
@@ -79,7 +79,7 @@ def source_preflight(
     return union_all(check(t, f) for t, f in frames.items())
 
 
-def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
+def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     return union_all(
         f.agg(F.count("*").alias("actual_rows")).select(
             F.lit(name).alias("table_name"), "actual_rows"
@@ -103,7 +103,7 @@ def row_count_contract(counts: DataFrame) -> DataFrame:
     )
 
 
-def counts_against(frames: dict[str, DataFrame], sources: dict[str, DataFrame]) -> DataFrame:
+def counts_against(frames: Mapping[str, DataFrame], sources: Mapping[str, DataFrame]) -> DataFrame:
     """Row counts of tables next to those of the sources they were made from."""
     expected = row_counts(sources).withColumnRenamed("actual_rows", "expected_rows")
     return row_counts(frames).join(expected, "table_name", "left")
@@ -127,7 +127,7 @@ def load_state(counts: DataFrame) -> DataFrame:
 # Profiles
 
 
-def table_profile(frames: dict[str, DataFrame], keys: dict[str, list[str]] = KEYS) -> DataFrame:
+def table_profile(frames: Mapping[str, DataFrame], keys: dict[str, list[str]] = KEYS) -> DataFrame:
     """Rows, columns, missing keys, repeated keys and repeated rows per table.
 
     Equal rows are counted first and equal keys among them second, so every
@@ -162,7 +162,7 @@ def table_profile(frames: dict[str, DataFrame], keys: dict[str, list[str]] = KEY
     return union_all(profile(t, f) for t, f in frames.items())
 
 
-def missing_values(frames: dict[str, DataFrame]) -> DataFrame:
+def missing_values(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Columns with missing values, one scan per table."""
 
     def count(table: str, frame: DataFrame) -> DataFrame:
@@ -193,7 +193,7 @@ TIMESTAMP_COLUMNS = {
 }
 
 
-def invalid_values(frames: dict[str, DataFrame]) -> DataFrame:
+def invalid_values(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Text values that are no number or no timestamp, counted per column."""
     exact = T.DecimalType(38, 18)
 
@@ -226,7 +226,7 @@ def invalid_values(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def key_violations(
-    frames: dict[str, DataFrame], keys: dict[str, list[str]] = KEYS
+    frames: Mapping[str, DataFrame], keys: dict[str, list[str]] = KEYS
 ) -> DataFrame:
     """Rows without a complete key, and rows that repeat a key."""
 
@@ -290,7 +290,7 @@ def _distinct_key(frame: DataFrame, column: str) -> DataFrame:
     return key.distinct()
 
 
-def fk_orphans(frames: dict[str, DataFrame]) -> DataFrame:
+def fk_orphans(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Distinct child keys without a parent, for every relation."""
 
     def count(child: str, column: str, parent: str, parent_column: str) -> DataFrame:
@@ -499,7 +499,7 @@ def purchase_coverage(orders: DataFrame, settings: Settings) -> DataFrame:
 # Reports
 
 
-def cleaning_summary(tables: dict[str, DataFrame], sequences: DataFrame) -> DataFrame:
+def cleaning_summary(tables: Mapping[str, DataFrame], sequences: DataFrame) -> DataFrame:
     """Rows of every cleaned table, and the defects that cleaning flagged.
 
     ``sequences`` are the payment sequences per order; with them the payments
@@ -593,7 +593,7 @@ def cleaning_summary(tables: dict[str, DataFrame], sequences: DataFrame) -> Data
 
 
 def dq_report(
-    raw: dict[str, DataFrame],
+    raw: Mapping[str, DataFrame],
     items: DataFrame,
     payments: DataFrame,
     reviews: DataFrame,

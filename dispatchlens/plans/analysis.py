@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import copy
+from collections.abc import Mapping
 from datetime import date
 from functools import cached_property
 
@@ -25,7 +26,7 @@ class Analysis:
 
     def __init__(
         self,
-        raw: dict[str, DataFrame],
+        raw: Mapping[str, DataFrame],
         settings: Settings = Settings(),
         manual_translations: dict[str, str] | None = None,
     ) -> None:

@@ -11,6 +11,9 @@ Keys keep their stored integer type, which makes cheaper join keys than text;
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+from functools import cache, partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,23 +28,44 @@ UNTRANSLATED_CATEGORY = "SMALL"
 MANUAL_TRANSLATIONS = {MANUAL_CATEGORY: "promo"}
 
 
-def load(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All eight typed tables; each is a lazy scan of what it needs."""
+class Tables(Mapping[str, DataFrame]):
+    """Tables by name, each opened when first asked for."""
+
+    def __init__(self, opening: dict[str, Callable[[], DataFrame]]) -> None:
+        self._opening = opening
+        self._opened: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self._opening[name]()
+        return self._opened[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._opening)
 
+    def __len__(self) -> int:
+        return len(self._opening)
+
+
+def load(spark: SparkSession, folder: str) -> Tables:
+    """All eight typed tables."""
+
+    @cache
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
-    nation, part, lines = table("nation"), table("part"), table("lineitem")
-    return {
-        "customers": _customers(table("customer"), nation),
-        "orders": _orders(table("orders")),
-        "order_items": _order_items(lines),
-        "products": _products(part),
-        "sellers": _sellers(table("supplier"), nation),
-        "payments": _payments(lines),
-        "reviews": _reviews(lines),
-        "category_translation": _category_translation(part, table("region")),
-    }
+    return Tables(
+        {
+            "customers": lambda: _customers(table("customer"), table("nation")),
+            "orders": lambda: _orders(table("orders")),
+            "order_items": lambda: _order_items(table("lineitem")),
+            "products": lambda: _products(table("part")),
+            "sellers": lambda: _sellers(table("supplier"), table("nation")),
+            "payments": lambda: _payments(table("lineitem")),
+            "reviews": lambda: _reviews(table("lineitem")),
+            "category_translation": lambda: _category_translation(table("part"), table("region")),
+        }
+    )
 
 
 def _after(start: Column, days: Column | int, seconds: Column | int = 0) -> Column:
@@ -195,28 +219,31 @@ def _category_translation(part: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
-def as_text(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def as_text(tables: Mapping[str, DataFrame]) -> Tables:
     """The tables as raw files hold them: every column text.
 
     Customer cities get the usual defects of typed-in text: padding, blank
     values and a written-out "no value".
     """
-    text = {
-        name: frame.select(*[F.col(c).cast("string") for c in RAW_COLUMNS[name]])
-        for name, frame in tables.items()
-    }
-    customers = text["customers"]
+
+    def text(name: str) -> DataFrame:
+        frame = tables[name].select(*[F.col(c).cast("string") for c in RAW_COLUMNS[name]])
+        return _with_typing_defects(frame) if name == "customers" else frame
+
+    return Tables({name: partial(text, name) for name in tables})
+
+
+def _with_typing_defects(customers: DataFrame) -> DataFrame:
     city, state = F.col("customer_city"), F.col("customer_state")
     entered = (
         F.when(state.isin("NATION_0", "NATION_7"), F.lit("  \t "))
         .when(state == "NATION_5", F.lit("N/A"))
-        .otherwise(F.concat(F.lit("  "), city, F.lit(" \t")))
+        .otherwise(F.concat(F.lit("  "), city, F.lit(" \t")))
     )
-    text["customers"] = customers.withColumn("customer_city", entered)
-    return text
+    return customers.withColumn("customer_city", entered)
 
 
-def with_entry_errors(text: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def with_entry_errors(text: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Text tables in which some numbers and dates cannot be parsed."""
     items, payments = text["order_items"], text["payments"]
     return {

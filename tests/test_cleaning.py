@@ -192,7 +192,7 @@ def test_payment_flags(spark, hot_key_rows):
     assert odd["late start", 2] == (True, False) and odd["late start", 3] == (False, True)
 
 
-def test_hot_keys_join_like_any_other_key_and_spread(spark):
+def test_hot_keys_join_like_any_other_key_without_moving(spark):
     rows = spark.range(0, 30_000, numPartitions=4).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot"))
         .when(F.col("id") % 1000 == 1, F.lit(None))
@@ -205,13 +205,24 @@ def test_hot_keys_join_like_any_other_key_and_spread(spark):
         .groupBy("key")
         .agg(F.count("*").alias("n"), F.max("row").alias("last"))
     )
-    joined = keyed.left_join_per_key(rows, per_key, "key", "n", hot_key_rows=100)
     plain = rows.join(per_key.drop("n"), "key", "left").select("key", "row", "last")
-    assert sorted(map(str, joined.collect())) == sorted(map(str, plain.collect()))
-    spread = (
-        joined.filter("key = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+    # Without size-based broadcasts only the entries of hot keys are broadcast.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = keyed.left_join_per_key(rows, per_key, "key", "n", hot_key_rows=100)
+        got = joined.withColumn("task", F.spark_partition_id()).collect()
+        by_task: dict[int, int] = {}
+        for row in got:
+            by_task[row.task] = by_task.get(row.task, 0) + (row.key == "hot")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert sorted(str((r.key, r.row, r.last)) for r in got) == sorted(
+        str(tuple(r)) for r in plain.collect()
     )
-    assert spread > 1
+    # A third of all rows share a key, and still stay in their four partitions.
+    assert sorted(n for n in by_task.values() if n) == [2500] * 4
 
 
 def test_constraints_on_clean_and_broken_rows(spark):

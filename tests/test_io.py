@@ -133,7 +133,7 @@ def database(spark, tmp_path):
 
 def valid_analysis(spark):
     """The given tables without the defects that a strict load refuses."""
-    raw = star_schema.load(spark, SF)
+    raw = dict(star_schema.load(spark, SF))
     lookup = raw["products"].select("product_category_name").distinct().dropna()
     raw["category_translation"] = lookup.withColumn(
         "product_category_name_english", F.lower("product_category_name")
