@@ -7,16 +7,25 @@ and each reader takes only the columns it needs.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; an error where none is configured."""
-    folder = spark.conf.get("spark.checkpoint.dir", "")
+    """The session's checkpoint folder.
+
+    Only a local session without one gets a temporary folder; a cluster must
+    name a folder that all its executors reach.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", "") or context.getCheckpointDir() or ""
+    if not folder and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="dispatchlens-"))
+        folder = context.getCheckpointDir()
     if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
     return folder.rstrip("/")
 
 

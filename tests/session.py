@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -18,6 +16,4 @@ def local_session() -> SparkSession:
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", ""):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="dispatchlens-"))
     return spark

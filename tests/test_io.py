@@ -9,8 +9,9 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from dispatchlens.plans import reports, store
+from dispatchlens.plans import reports, shared, store
 from dispatchlens.plans.analysis import Analysis
+from dispatchlens.plans.session import recommended_options
 from dispatchlens.schemas import CLEAN_TABLES, RAW_COLUMNS
 from dispatchlens.sources import csv_files, sinks, star_schema
 
@@ -199,3 +200,41 @@ def test_fact_store_gives_the_same_results(spark, tmp_path):
     for name in direct:
         mine, other = sorted(map(str, direct[name].collect())), sorted(map(str, again[name].collect()))
         assert mine == other, name
+
+
+class Session:
+    """As much of a session as the choice of the shared folder looks at."""
+
+    def __init__(self, master: str, option: str = "") -> None:
+        self.conf = {"spark.checkpoint.dir": option}
+        self.sparkContext, self.master, self.folder = self, master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_shared_folder_comes_from_the_session():
+    assert shared.shared_folder(Session("yarn", "hdfs://a/b/")) == "hdfs://a/b"
+    local = Session("local[2]")
+    assert shared.shared_folder(local) == local.folder
+    with pytest.raises(ValueError):
+        shared.shared_folder(Session("yarn"))
+
+
+def test_materialised_tables_never_share_a_path(spark):
+    frame = spark.range(5).withColumn("x", F.lit(Decimal("1.50")))
+    first, second = (shared.materialise(frame, "numbers") for _ in range(2))
+    assert first.inputFiles() and not set(first.inputFiles()) & set(second.inputFiles())
+    assert first.dtypes == frame.dtypes
+    assert sorted(map(str, first.collect())) == sorted(map(str, frame.collect()))
+
+
+def test_session_options_grow_with_the_input():
+    small = recommended_options(40 * 2**20, 8)
+    large = recommended_options(100 * 2**40, 8_000)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert 8_000 < int(large["spark.sql.shuffle.partitions"]) <= 50_000
+    assert large["spark.sql.adaptive.skewJoin.enabled"] == "true"
