@@ -333,6 +333,7 @@ def order_timing(raw: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+# The columns of the cleaned orders, in their published order.
 ORDER_COLUMNS = [
     "order_id", "customer_id", "order_status", *ORDER_TIMESTAMPS,
     "has_order_items", "has_payment", "is_primary_analysis_window",

@@ -75,6 +75,7 @@ def delivery_comparisons(comparison: DataFrame, settings: Settings) -> DataFrame
     )
 
 
+# The columns of an issue row, in their published order.
 ISSUE_COLUMNS = [
     "previous_month", "current_month", "current_order_count",
     "current_delivery_kpi_order_count", "current_on_time_delivery_count",

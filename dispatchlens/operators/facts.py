@@ -107,6 +107,7 @@ def order_measures(
     return with_reviews(joined, reviews)
 
 
+# The columns of the order facts, in their published order.
 FACT_COLUMNS = [
     "order_id", "customer_id", "customer_unique_id", "customer_city", "customer_state",
     "order_status", "order_purchase_timestamp", "purchase_date", "purchase_month",

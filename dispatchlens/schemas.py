@@ -42,6 +42,7 @@ RAW_COLUMNS: dict[str, list[str]] = {
     ],
 }
 
+# Keys, references and types of the tables.
 KEYS: dict[str, list[str]] = {
     "customers": ["customer_id"],
     "orders": ["order_id"],

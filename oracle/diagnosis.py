@@ -52,14 +52,14 @@ FROM (
           FROM states_t GROUP BY issue_id) USING (issue_id)))"""
 
 _KPI_ROWS = [
-    ("Delivery-eligible orders", "delivery_eligible_orders", "orders"),
-    ("On-time delivery rate", "on_time_delivery_rate_pct", "pct"),
+    ("Eligible orders", "delivery_eligible_orders", "orders"),
+    ("On-time rate", "on_time_delivery_rate_pct", "pct"),
     ("Late orders", "late_orders", "orders"),
-    ("Average delivery days", "average_delivery_days", "days"),
-    ("Average handling days", "average_handling_days", "days"),
-    ("Carrier-to-customer days", "average_carrier_to_customer_days", "days"),
-    ("Average promise window", "average_promise_window_days", "days"),
-    ("Average review score", "average_order_review_score", "score"),
+    ("Days to delivery", "average_delivery_days", "days"),
+    ("Days of handling", "average_handling_days", "days"),
+    ("Days with the carrier", "average_carrier_to_customer_days", "days"),
+    ("Days promised", "average_promise_window_days", "days"),
+    ("Review score", "average_order_review_score", "score"),
 ]
 
 

@@ -237,7 +237,7 @@ def test_brief_lists_and_escapes(one_issue):
     assert "Period: January 2018 to February 2018. Severity: High." in text
     assert "fell by 9.43 percentage points; about 77.50 orders" in text
     assert "| M\\|G | 60 | 20 |" in text
-    assert "| Delivery-eligible orders | 240 | 250 | +10 |" in text
+    assert "| Eligible orders | 240 | 250 | +10 |" in text
     assert "| s0 | SP | 60 | 30 |" in text
     assert text == reports.brief(one_issue).first().brief
 
