@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dedup
+from dispatchlens.plans.shared import fresh_path
+
+from . import near_dedup, token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,9 +22,16 @@ def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def _token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token_segments")
+    token_output.write(_documents(spark, sf_dir), path, token_output.default_tokenizer())
+    return token_output.read(spark, path)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op6_near_dedup": _near_dedup,
+        "op10_token_output": _token_output,
     }
 
 

@@ -33,15 +33,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _byte_values(fold: bool) -> np.ndarray:
-    values = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
-    if fold:
-        values[65:91] = values[97:123]
-    values[IS_SEPARATOR] = 0
-    return values
-
-
-_FOLDED, _EXACT = _byte_values(True), _byte_values(False)
+ALL_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
+_EXACT = np.where(IS_SEPARATOR, np.uint64(0), ALL_BYTES)
+_FOLDED = _EXACT.copy()
+_FOLDED[65:91] = _FOLDED[97:123]
 
 
 @lru_cache(maxsize=2)
@@ -84,6 +79,34 @@ def chunks(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int, n
         low = high
 
 
+def span_hashes(
+    data: np.ndarray,
+    start: np.ndarray,
+    end: np.ndarray,
+    values: np.ndarray,
+    gaps: bool = False,
+) -> np.ndarray:
+    """Hash of each span of bytes.
+
+    ``gaps``: bytes whose value is not 0 lie between the spans.
+    """
+    hashed = np.empty(len(start), dtype=np.uint64)
+    low = 0
+    while low < len(start):
+        high = max(int(np.searchsorted(end, start[low] + _SPAN, side="right")), low + 1)
+        first, last = start[low], end[high - 1]
+        width = 1 << max(20, int(last - first).bit_length())
+        scaled = values[data[first:last]] * _powers(int(_BASE), width)[: last - first]
+        if gaps:
+            edges = np.stack([start[low:high], end[low:high]], axis=1).reshape(-1) - first
+            sums = np.add.reduceat(np.append(scaled, np.uint64(0)), edges)[::2]
+        else:
+            sums = np.add.reduceat(scaled, start[low:high] - first)
+        hashed[low:high] = sums * _powers(int(_INVERSE), width)[start[low:high] - first]
+        low = high
+    return mix(hashed + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> Words:
     """All words of the texts that lie in ``data`` between ``offsets``."""
     size = len(data)
@@ -99,18 +122,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> Wor
     after = np.empty(size, dtype=bool)
     after[-1], after[:-1] = True, ~inside[1:]
     end = np.flatnonzero(inside & (after | cut[1:])) + 1
-    values = _FOLDED if fold else _EXACT
-    hashed = np.empty(len(start), dtype=np.uint64)
-    low = 0
-    while low < len(start):
-        high = max(int(np.searchsorted(end, start[low] + _SPAN, side="right")), low + 1)
-        first, last = start[low], end[high - 1]
-        width = 1 << max(20, int(last - first).bit_length())
-        scaled = values[data[first:last]] * _powers(int(_BASE), width)[: last - first]
-        sums = np.add.reduceat(scaled, start[low:high] - first)
-        hashed[low:high] = sums * _powers(int(_INVERSE), width)[start[low:high] - first]
-        low = high
-    hashed = mix(hashed + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    hashed = span_hashes(data, start, end, _FOLDED if fold else _EXACT)
     return Words(hashed, start, end, np.searchsorted(offsets, start, side="right") - 1)
 
 
