@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dispatchlens.plans.shared import fresh_path
 
-from . import near_dedup, token_output
+from . import language_id, mixing, near_dedup, token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,18 @@ def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = language_id.learn(docs.where(~language_id.held_out()))
+    return language_id.predict(docs, model).withColumn("held_out", language_id.held_out())
+
+
+def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir)).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 def _token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token_segments")
     token_output.write(_documents(spark, sf_dir), path, token_output.default_tokenizer())
@@ -30,10 +42,47 @@ def _token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_language_id": _language_id,
         "op6_near_dedup": _near_dedup,
+        "op9_mixing": _mixing,
         "op10_token_output": _token_output,
     }
 
 
+_MIXING_SQL = """
+WITH sizes AS (
+  SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS key,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
+  FROM documents
+), totals AS (
+  SELECT source, sum(size) AS source_size,
+         1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+  FROM sizes GROUP BY source
+), levels AS (
+  SELECT *, (sum(source_size) OVER ()
+             - 3 * coalesce(sum(source_size) OVER (
+                 ORDER BY source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / (sum(weight) OVER ()
+               - coalesce(sum(weight) OVER (
+                   ORDER BY source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            AS level
+  FROM totals
+), targets AS (
+  SELECT source, source_size, least(3.0 * source_size, max(level) OVER () * weight) AS target
+  FROM levels
+), placed AS (
+  SELECT s.doc_id, s.size, t.source_size, t.target,
+         coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.size
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, CAST(target AS DOUBLE) AS target,
+       CAST(least(greatest(round(target) - place, 0), size)
+          + least(greatest(round(target) - place - source_size, 0), size)
+          + least(greatest(round(target) - place - 2 * source_size, 0), size) AS BIGINT) AS taken
+FROM placed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_mixing": _MIXING_SQL}
