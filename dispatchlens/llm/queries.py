@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dispatchlens.plans.shared import fresh_path
 
-from . import language_id, mixing, near_dedup, token_output
+from . import decontamination, language_id, mixing, near_dedup, token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,11 @@ def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contaminated(_documents(spark, sf_dir), benchmark)
+
+
 def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = language_id.learn(docs.where(~language_id.held_out()))
@@ -42,6 +47,7 @@ def _token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontamination": _decontamination,
         "op4_language_id": _language_id,
         "op6_near_dedup": _near_dedup,
         "op9_mixing": _mixing,

@@ -34,9 +34,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 ALL_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
+# All of ASCII but letters and digits, where punctuation is not part of a word.
+IS_MARK = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _EXACT = np.where(IS_SEPARATOR, np.uint64(0), ALL_BYTES)
 _FOLDED = _EXACT.copy()
 _FOLDED[65:91] = _FOLDED[97:123]
+_PLAIN = np.where(IS_MARK, np.uint64(0), _FOLDED)
 
 
 @lru_cache(maxsize=2)
@@ -107,13 +110,16 @@ def span_hashes(
     return mix(hashed + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> Words:
-    """All words of the texts that lie in ``data`` between ``offsets``."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, plain: bool = False) -> Words:
+    """All words of the texts that lie in ``data`` between ``offsets``.
+
+    ``plain``: punctuation divides words too.
+    """
     size = len(data)
     if not size:
         none = np.zeros(0, dtype=np.int64)
         return Words(none.astype(np.uint64), none, none, none)
-    inside = ~IS_SEPARATOR[data]
+    inside = ~(IS_MARK if plain else IS_SEPARATOR)[data]
     cut = np.zeros(size + 1, dtype=bool)
     cut[offsets] = True
     before = np.empty(size, dtype=bool)
@@ -122,7 +128,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> Wor
     after = np.empty(size, dtype=bool)
     after[-1], after[:-1] = True, ~inside[1:]
     end = np.flatnonzero(inside & (after | cut[1:])) + 1
-    hashed = span_hashes(data, start, end, _FOLDED if fold else _EXACT)
+    hashed = span_hashes(data, start, end, _PLAIN if plain else _FOLDED)
     return Words(hashed, start, end, np.searchsorted(offsets, start, side="right") - 1)
 
 
