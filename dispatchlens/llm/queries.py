@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dispatchlens.plans.shared import fresh_path
 
-from . import decontamination, language_id, mixing, near_dedup, token_output
+from . import decontamination, language_id, mixing, near_dedup, pii, token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,10 @@ def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).withColumn("held_out", language_id.held_out())
 
 
+def _pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(_documents(spark, sf_dir)))
+
+
 def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -50,6 +54,7 @@ def queries() -> dict[str, Query]:
         "op1_decontamination": _decontamination,
         "op4_language_id": _language_id,
         "op6_near_dedup": _near_dedup,
+        "op7_pii": _pii,
         "op9_mixing": _mixing,
         "op10_token_output": _token_output,
     }
