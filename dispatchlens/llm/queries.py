@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dispatchlens.plans.shared import fresh_path
 
-from . import decontamination, language_id, mixing, near_dedup, pii, token_output
+from . import decontamination, language_id, licenses, mixing, near_dedup, pii, token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +38,27 @@ def _pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(_documents(spark, sf_dir)))
 
 
+def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of ``source/language``, ids in thousands to a directory.
+
+    A document that begins with a statement speaks for its directory as a licence file;
+    the first thousand ids lie at the top of their source.
+    """
+    docs = _documents(spark, sf_dir)
+    block = F.expr("cast(doc_id div 1000 as string)")
+    top = F.concat_ws("/", "source", F.when(F.col("doc_id") >= 1000, F.concat_ws("/", "lang", block)))
+    first = F.trim(F.element_at(F.split("text", "[.\n]"), 1))
+    files = docs.select(
+        "doc_id",
+        F.concat_ws("/", top, F.col("doc_id").cast("string")).alias("path"),
+        "text",
+        first.rlike("(?i)licen[cs]ed? ").alias("begins"),
+        first.rlike("(?i) licen[cs]e").alias("ends"),
+    )
+    files = files.withColumn("license_file", F.col("begins") | F.col("ends"))
+    return licenses.scan(files.drop("begins", "ends"))
+
+
 def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -55,6 +77,7 @@ def queries() -> dict[str, Query]:
         "op4_language_id": _language_id,
         "op6_near_dedup": _near_dedup,
         "op7_pii": _pii,
+        "op8_licenses": _licenses,
         "op9_mixing": _mixing,
         "op10_token_output": _token_output,
     }
