@@ -39,24 +39,16 @@ def _pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files of ``source/language``, ids in thousands to a directory.
+    """Documents as files in a tree of source, language and thousands of ids.
 
-    A document that begins with a statement speaks for its directory as a licence file;
-    the first thousand ids lie at the top of their source.
+    The first thousand ids lie at the top of their source; a statement in one of them
+    holds, as in a licence file, for the whole source.
     """
     docs = _documents(spark, sf_dir)
-    block = F.expr("cast(doc_id div 1000 as string)")
-    top = F.concat_ws("/", "source", F.when(F.col("doc_id") >= 1000, F.concat_ws("/", "lang", block)))
-    first = F.trim(F.element_at(F.split("text", "[.\n]"), 1))
-    files = docs.select(
-        "doc_id",
-        F.concat_ws("/", top, F.col("doc_id").cast("string")).alias("path"),
-        "text",
-        first.rlike("(?i)licen[cs]ed? ").alias("begins"),
-        first.rlike("(?i) licen[cs]e").alias("ends"),
-    )
-    files = files.withColumn("license_file", F.col("begins") | F.col("ends"))
-    return licenses.scan(files.drop("begins", "ends"))
+    below = F.concat_ws("/", "lang", F.expr("cast(doc_id div 1000 as string)"))
+    at_top = F.col("doc_id") < 1000
+    path = F.concat_ws("/", "source", F.when(~at_top, below), F.col("doc_id").cast("string"))
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text", at_top.alias("license_file")))
 
 
 def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
