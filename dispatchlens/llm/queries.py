@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dispatchlens.plans.shared import fresh_path
 
-from . import decontamination, language_id, licenses, mixing, near_dedup, pii, token_output
+from . import decontamination, fuzzy_passages, language_id, licenses, mixing, near_dedup, pii, token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_documents(spark, sf_dir), benchmark)
 
 
+def _fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_passages.shared_passages(_documents(spark, sf_dir))
+
+
 def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = language_id.learn(docs.where(~language_id.held_out()))
@@ -66,6 +70,7 @@ def _token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": _decontamination,
+        "op2_fuzzy_passages": _fuzzy_passages,
         "op4_language_id": _language_id,
         "op6_near_dedup": _near_dedup,
         "op7_pii": _pii,

@@ -49,6 +49,12 @@ def _powers(base: int, size: int) -> np.ndarray:
     return np.multiply.accumulate(factors)
 
 
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``size`` powers of an odd number modulo 2 ** 64, and their inverses."""
+    width = 1 << max(20, size.bit_length())
+    return _powers(int(_BASE), width)[:size], _powers(int(_INVERSE), width)[:size]
+
+
 class Words(NamedTuple):
     """Words in text order: hash, first byte, byte after the last, number of the text."""
 
