@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dispatchlens.plans.shared import fresh_path
 
-from . import decontamination, fuzzy_passages, language_id, licenses, mixing, near_dedup, pii, token_output
+from . import decontamination, fuzzy_passages, language_id, licenses, line_runs, mixing, near_dedup, pii, token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,12 @@ def _pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(_documents(spark, sf_dir)))
 
 
+def _line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    left = line_runs.without_runs(docs, line_runs.repeated_runs(docs))
+    return left.select("doc_id", "n_deleted", F.sha2(F.col("text"), 256).alias("text_sha256"))
+
+
 def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files in a tree of source, language and thousands of ids.
 
@@ -72,6 +78,7 @@ def queries() -> dict[str, Query]:
         "op1_decontamination": _decontamination,
         "op2_fuzzy_passages": _fuzzy_passages,
         "op4_language_id": _language_id,
+        "op5_line_runs": _line_runs,
         "op6_near_dedup": _near_dedup,
         "op7_pii": _pii,
         "op8_licenses": _licenses,
