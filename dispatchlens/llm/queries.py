@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dispatchlens.plans.shared import fresh_path
 
-from . import decontamination, fuzzy_passages, language_id, licenses, line_runs, mixing, near_dedup, pii, token_output
+from . import decontamination, fuzzy_passages, language_id, licenses, line_runs, mixing, near_dedup, nearest, pii, token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,12 @@ def _fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_passages.shared_passages(_documents(spark, sf_dir))
 
 
+def _nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.neighbours(
+        spark.read.parquet(f"{sf_dir}/embeddings.parquet"), chosen=F.col("vec_id") % 20 == 0
+    )
+
+
 def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = language_id.learn(docs.where(~language_id.held_out()))
@@ -77,6 +83,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": _decontamination,
         "op2_fuzzy_passages": _fuzzy_passages,
+        "op3_nearest": _nearest,
         "op4_language_id": _language_id,
         "op5_line_runs": _line_runs,
         "op6_near_dedup": _near_dedup,
