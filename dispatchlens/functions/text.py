@@ -46,9 +46,12 @@ def parse_integer(column: Column) -> Column:
 def parse_timestamp(column: Column) -> Column:
     """Timestamp without zone in ``column``, or null when it is not one.
 
-    A cast would also take a bare year or month, which is shorter than a date.
+    A cast would also take a bare year or month, which is shorter than a date, and
+    drop a zone after the time, which changes the instant meant.
     """
-    dated = F.when(F.length(column) >= len("yyyy-MM-dd"), column)
+    zoned = column.rlike(r"[0-9:.]\s*(?:[+-][0-9]{1,2}(?::?[0-9]{2}){0,2}|[A-Za-z][A-Za-z0-9/_+:-]*)$")
+    timed = F.length(column) > len("yyyy-MM-dd")
+    dated = F.when((F.length(column) >= len("yyyy-MM-dd")) & ~(timed & zoned), column)
     return dated.try_cast(T.TimestampNTZType())
 
 

@@ -50,21 +50,21 @@ def _parse(text: Column, target: T.DataType) -> Column:
 def typed(frame: DataFrame, table: str, types: dict[str, T.DataType | None]) -> DataFrame:
     """Select ``types``' columns with their types; ``None`` keeps an id as it is.
 
-    Text is normalised, parsed and checked in three projections, so that each
+    Each column goes its own way: text is normalised and parsed, a typed column is
+    cast.  Text is normalised, parsed and checked in three projections, so that each
     value is normalised and parsed once however often it is referred to.
     """
-    if not all(isinstance(f.dataType, T.StringType) for f in frame.schema.fields):
-        return frame.select(
-            *[
-                (F.col(c) if target is None else F.col(c).cast(target)).alias(c)
-                for c, target in types.items()
-            ]
-        )
-    text = normalize_strings(frame.select(*types))
+    of_text = {f.name for f in frame.schema.fields if isinstance(f.dataType, T.StringType)}
+    text = normalize_strings(frame.select(*types)).select(
+        *[
+            F.col(c).cast(target).alias(c) if target is not None and c not in of_text else F.col(c)
+            for c, target in types.items()
+        ]
+    )
     to_parse = {
         c: target
         for c, target in types.items()
-        if target is not None and not isinstance(target, T.StringType)
+        if target is not None and c in of_text and not isinstance(target, T.StringType)
     }
     parsed = text.withColumns({f"_{c}": _parse(F.col(c), t) for c, t in to_parse.items()})
     return parsed.select(

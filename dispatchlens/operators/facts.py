@@ -135,12 +135,13 @@ def order_facts(
     """Order measures with the customer's identity and place.
 
     The customer comes first, while the rows are narrow; the result then stays
-    partitioned by order.
+    partitioned by order.  An order whose customer is unknown keeps its measures, and
+    identity and place are null: every path counts the same orders.
     """
     place = customers.select(
         "customer_id", "customer_unique_id", "customer_city", "customer_state"
     )
-    placed = orders.join(place, "customer_id").withColumn(
+    placed = orders.join(place, "customer_id", "left").withColumn(
         "purchase_date", F.to_date("order_purchase_timestamp")
     )
     return order_measures(placed, items, payments, reviews).select(*FACT_COLUMNS)
@@ -150,8 +151,8 @@ def monthly_kpis(orders: DataFrame, settings: Settings) -> DataFrame:
     """Ten measures per purchase month of the analysis window.
 
     ``orders`` are order facts or order measures: no customer attribute is
-    needed, and the customer of an order exists by the foreign-key contract, so
-    the join to customers can be left out.
+    needed, and facts keep orders of unknown customers, so the join to customers
+    can be left out.
     """
     eligible = F.col("is_delivery_kpi_eligible")
     paid = F.col("payment_record_count") > 0

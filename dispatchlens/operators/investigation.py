@@ -113,8 +113,8 @@ def single_seller_orders(items: DataFrame) -> DataFrame:
 
 
 def with_state(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Orders with the state they go to."""
-    return orders.join(customers.select("customer_id", "customer_state"), "customer_id")
+    """Orders with the state they go to, null where the customer is unknown."""
+    return orders.join(customers.select("customer_id", "customer_state"), "customer_id", "left")
 
 
 def with_single_seller(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -243,9 +243,12 @@ def _top(contributors: DataFrame, group: str, settings: Settings) -> DataFrame:
 
 
 def issue_states(orders: DataFrame, settings: Settings) -> DataFrame:
-    """Customer states by their excess late orders; ``orders`` carry the state."""
+    """Customer states by their excess late orders; ``orders`` carry the state.
+
+    Orders without a state count in every other result and in no state.
+    """
     eligible = F.col("is_delivery_kpi_eligible")
-    states = orders.groupBy(*ISSUE_KEYS, "customer_state").agg(
+    states = orders.filter(F.col("customer_state").isNotNull()).groupBy(*ISSUE_KEYS, "customer_state").agg(
         *_late_counts(),
         _mean_change("delivery_days", eligible).alias("average_delivery_days_change"),
         _mean_change("promise_window_days", eligible).alias("promise_window_days_change"),

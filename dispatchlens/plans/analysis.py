@@ -9,6 +9,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from dispatchlens.functions.months import month_argument
 from dispatchlens.operators import cleaning, detection, facts, investigation
@@ -130,6 +131,20 @@ class Analysis:
             "monthly_delivery_comparison": self.monthly_comparison,
         }
 
+    def view_sources(self) -> dict[str, DataFrame]:
+        """What each view has a row for: the orders, the window's months that have any,
+        and those of them with a month before.
+        """
+        inside = cleaning.in_window(F.col("order_purchase_timestamp"), self.settings)
+        months = self.timed_orders.filter(inside).select("purchase_month").distinct()
+        first = F.min("purchase_month").over(Window.partitionBy())
+        later = months.withColumn("first", first).filter("purchase_month > first")
+        return {
+            "order_facts": self.orders,
+            "monthly_kpis": months,
+            "monthly_delivery_comparison": later,
+        }
+
     # Drill-down
 
     def issue_keys(self, month: str | date | None = None) -> DataFrame:

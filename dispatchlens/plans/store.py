@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dispatchlens.functions.measures import month_of
 from dispatchlens.operators import investigation, quality
-from dispatchlens.plans import reports
+from dispatchlens.plans import gate, reports
 from dispatchlens.plans.analysis import Analysis
 from dispatchlens.schemas import CLEAN_TABLES
 from dispatchlens.settings import Settings
@@ -57,11 +57,16 @@ def existing_tables(spark: SparkSession, database: str) -> set[str]:
     return names & set(CLEAN_TABLES)
 
 
-def bootstrap(spark: SparkSession, analysis: Analysis, database: str) -> DataFrame:
+def bootstrap(
+    spark: SparkSession, analysis: Analysis, database: str, resume: bool = False
+) -> DataFrame:
     """Create, load and check the cleaned tables; returns the row-count report.
 
-    Running it again on a loaded database changes nothing.  A database with some
-    of its tables missing, or loaded in part, is an error.
+    Nothing is written before the gate has passed the raw tables.  Running it again on a
+    loaded database changes nothing.  A database with some of its tables missing is an
+    error, and so is one loaded in part, unless ``resume``: then the tables that are still
+    empty are loaded, and a table with too few or too many rows remains an error.  At the
+    end the views are created over the loaded tables and their rows compared, too.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     if not existing_tables(spark, database):
@@ -78,14 +83,19 @@ def bootstrap(spark: SparkSession, analysis: Analysis, database: str) -> DataFra
         return quality.counts_against(loaded, sources)
 
     state = quality.load_state(counts()).first()["state"]
-    if state == "empty":
+    if state == "empty" or (state == "partial" and resume):
+        gate.require_clean(analysis)
         for name, frame in analysis.clean_tables().items():
             schema = CLEAN_TABLES[name]
-            sinks.load_table(frame.select(*schema.fieldNames()), f"{database}.{name}", schema)
+            if spark.table(f"{database}.{name}").isEmpty():
+                sinks.load_table(frame.select(*schema.fieldNames()), f"{database}.{name}", schema)
         state = quality.load_state(counts()).first()["state"]
     if state != "loaded":
         raise sinks.LoadError(f"{database} is loaded in part")
-    return quality.row_count_contract(counts())
+    loaded = loaded_analysis(spark, database, analysis.settings)
+    create_views(loaded)
+    views = quality.counts_against(loaded.views(), loaded.view_sources())
+    return quality.row_count_contract(counts().union(views.select(*counts().columns)))
 
 
 def loaded_analysis(spark: SparkSession, database: str, settings: Settings = Settings()) -> Analysis:

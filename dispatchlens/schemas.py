@@ -173,20 +173,3 @@ CLEAN_TABLES: dict[str, T.StructType] = {
         ("review_answer_timestamp", _TIME, False),
     ),
 }
-
-# Rows of the published data set, per table and per view.
-PUBLISHED_TABLE_ROWS: dict[str, int] = {
-    "customers": 99_441,
-    "products": 32_951,
-    "sellers": 3_095,
-    "orders": 99_441,
-    "order_items": 112_650,
-    "payments": 103_886,
-    "reviews": 99_224,
-}
-
-PUBLISHED_VIEW_ROWS: dict[str, int] = {
-    "order_facts": 99_441,
-    "monthly_kpis": 20,
-    "monthly_delivery_comparison": 19,
-}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,19 +27,38 @@ def write_csv(frame: DataFrame, path: str) -> None:
     frame.write.mode("errorifexists").options(**CSV_FORMAT).csv(path)
 
 
-def write_report(frame: DataFrame, path: str, order: list[Column]) -> int:
+def write_report(
+    frame: DataFrame, path: str, order: list[Column], replace: bool = False
+) -> int:
     """A bounded report as one ordered CSV file; returns its rows.
 
-    The files appear in ``path`` only when the write commits.  An empty report
-    is an error; its rows are counted while they are written.
+    The report is written aside, counted while it is written, and moved to ``path`` only
+    if it has rows; an empty report is an error and leaves nothing behind.  With
+    ``replace`` it takes the place of an earlier report, which stays if anything fails.
     """
+    spark = frame.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(place) and not replace:
+        raise ValueError(f"the report {path} exists")
+    aside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    fresh = spark._jvm.org.apache.hadoop.fs.Path(aside)
     written = Observation()
     counted = frame.observe(written, F.count(F.lit(1)).alias("rows"))
     single = counted.repartition(1).sortWithinPartitions(*order)
-    single.write.mode("errorifexists").options(**CSV_FORMAT).csv(path)
+    single.write.mode("errorifexists").options(**CSV_FORMAT).csv(aside)
     rows = written.get["rows"]
     if rows == 0:
+        files.delete(fresh, True)
         raise ValueError(f"the report {path} holds no rows")
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{aside}.old")
+    replaced = files.exists(place) and files.rename(place, old)
+    if not files.rename(fresh, place):
+        if replaced:
+            files.rename(old, place)
+        raise OSError(f"the report could not be moved to {path}")
+    if replaced:
+        files.delete(old, True)
     return rows
 
 

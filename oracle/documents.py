@@ -134,46 +134,43 @@ def _lines(name: str, line: str, source: str, order: str) -> str:
     )
 
 
+_FINDINGS = f"""'- stage: ' || stage_diagnosis
+    || ' (carrier ' || {_or_na(_signed("carrier_days_change", 2, " days"))}
+    || ', handling ' || {_or_na(_signed("handling_days_change", 2, " days"))} || ')' || {_BREAK}
+    || '- promise: ' || promise_diagnosis
+    || ' (' || {_or_na(_signed("promise_window_change", 2, " days"))} || ')' || {_BREAK}
+    || '- concentration: '
+    || CASE WHEN coalesce(top_two_state_share_pct, 0) >= 50 THEN 'two states' ELSE 'spread' END
+    || ' (' || {_or_na(_number("top_two_state_share_pct", 1))} || '%)' || {_BREAK}
+    || '- reviews: ' || {_or_na(_signed("review_score_change"))}"""
+_ACTIONS = f"""CASE WHEN coalesce(top_two_state_share_pct, 0) >= 50 THEN '- look at ' || focus_states
+        ELSE '- sample late orders of all states' END
+    || CASE WHEN stage_diagnosis = 'after carrier handoff'
+        THEN {_BREAK} || '- compare transit times by route' ELSE '' END
+    || CASE WHEN promise_diagnosis = 'narrowed'
+        THEN {_BREAK} || '- check how delivery dates are estimated' ELSE '' END
+    || CASE WHEN single_seller_coverage_pct < 90
+        THEN {_BREAK} || '- attribute orders of several sellers first' ELSE '' END"""
 _PARAGRAPHS = [
     "'# Delivery issue brief'",
     "'Period: ' || strftime(previous_month, '%B %Y') || ' to ' || strftime(current_month, '%B %Y') "
     "|| '. Severity: ' || issue_severity || '.'",
-    "'An issue is a fall of the on-time rate by 5 percentage points or more from one month to the next.'",
-    "'## Decision'",
-    f"'Escalate for an operational review. The on-time rate fell by ' || {_number('abs(issue_change_pp)')} "
-    f"|| ' percentage points; about ' || {_or_na(_number('excess_late_orders'))} "
-    "|| ' orders were late beyond the rate of the month before.'",
-    "'Begin with ' || focus_states || '. The two leading states hold ' || "
-    f"{_or_na(_number('top_two_state_share_pct', 1))} || '% of the excess.'",
+    f"'On-time change: ' || {_or_na(_signed('issue_change_pp', 2, ' pp'))} "
+    f"|| ' (threshold -5 pp). Excess late orders: ' || {_or_na(_number('excess_late_orders'))} || '.'",
     "'## Measures'",
     f"{_table('Measure', 'Previous', 'Current', 'Change')} || coalesce({_BREAK} || kpi_lines, '')",
     "'## States'",
     f"{_table('State', 'Eligible', 'Late', 'On-time', 'Excess late', 'Delivery', 'Promise')} "
     f"|| coalesce({_BREAK} || state_lines, '')",
     "'## Sellers'",
-    f"'Orders of a single seller make up ' || {_or_na(_number('single_seller_coverage_pct'))} "
-    "|| '% of the eligible orders of the month.'",
+    f"'Single-seller coverage: ' || {_or_na(_number('single_seller_coverage_pct'))} || '%.'",
     f"{_table('Seller', 'State', 'Eligible', 'Late', 'On-time', 'Excess late', 'Handling', 'Delivery')} "
     f"|| coalesce({_BREAK} || seller_lines, '')",
-    "'## Diagnosis'",
-    "CASE stage_diagnosis WHEN 'after carrier handoff' THEN "
-    f"'Time was lost after the handoff to the carrier: transport takes ' || {_number('carrier_days_change')} "
-    f"|| ' days longer, seller handling is about the same (' || {_signed('handling_days_change')} || ' days).' "
-    "ELSE 'The stage times do not single out handling or transport; look at both.' END",
-    "CASE promise_diagnosis WHEN 'narrowed' THEN 'Customers were promised delivery ' || "
-    f"{_number('abs(promise_window_change)')} || ' days sooner, which probably raised the late rate.' "
-    "ELSE 'Promises did not become tighter and explain none of the change.' END",
-    f"'The review score changed by ' || {_or_na(_signed('review_score_change'))} "
-    "|| '. All of this is association and proves no cause.'",
-    "'## Next steps'",
-    f"""'1. Review shipments to ' || focus_states || ', largest excess first.' || {_BREAK}
-    || '2. Add carrier and route to the data before holding a carrier responsible.' || {_BREAK}
-    || '3. Set promised dates from observed transit times per state.' || {_BREAK}
-    || '4. Watch the listed sellers; while handling times are stable, change nothing for sellers in general.'
-    || {_BREAK} || '5. Run the detection again after the next month.'""",
-    "'## Limits'",
-    "'States need 2 and sellers 1 eligible orders in both months. Orders of several sellers are "
-    "attributed to none. No carrier is on record, so none can be named.'",
+    "'## Findings'",
+    _FINDINGS,
+    "'## To do'",
+    _ACTIONS,
+    "'Least eligible orders in both months: 2 per state, 1 per seller.'",
 ]
 
 BRIEF = f"""

@@ -37,6 +37,9 @@ _ITEM_COLUMNS = f"""CAST(order_id AS VARCHAR) AS order_id, CAST(order_item_id AS
 _SCORE = "score_m / 10000.0::DOUBLE AS average_review_score"
 
 
+_WINDOW_MONTHS = "(SELECT count(DISTINCT date_trunc('month', purchase)) FROM timed_t WHERE in_window)"
+
+
 def _long(table: str, metrics: dict[str, str], where: str = "TRUE") -> str:
     """(metric, value) rows from one table."""
     return " UNION ALL ".join(
@@ -614,9 +617,10 @@ def oracle_sql() -> dict[str, str]:
         "view_row_counts": f"""
             SELECT *, {_STATUS} FROM (
                 SELECT 'order_facts' AS table_name, (SELECT count(*) FROM facts_t) AS actual_rows,
-                    CAST(15000 AS BIGINT) AS expected_rows
-                UNION ALL SELECT 'monthly_kpis', (SELECT count(*) FROM kpis_t), 60
-                UNION ALL SELECT 'monthly_delivery_comparison', (SELECT count(*) FROM comparison_t), 60)""",
+                    (SELECT count(*) FROM orders) AS expected_rows
+                UNION ALL SELECT 'monthly_kpis', (SELECT count(*) FROM kpis_t), {_WINDOW_MONTHS}
+                UNION ALL SELECT 'monthly_delivery_comparison', (SELECT count(*) FROM comparison_t),
+                    greatest({_WINDOW_MONTHS} - 1, 0))""",
         "normalize_strings": """
             SELECT CAST(customer_id AS VARCHAR) AS customer_id, CAST(person AS VARCHAR) AS customer_unique_id,
                 CAST(zip AS VARCHAR) AS customer_zip_code_prefix, state AS customer_state,

@@ -182,7 +182,7 @@ TABLES: dict[str, str] = {
         i.order_id IS NOT NULL AS has_items, p.order_id IS NOT NULL AS has_payment,
         coalesce(r.records, 0) AS review_records, r.score_m,
         CASE WHEN i.seller_count = 1 THEN i.seller_id END AS single_seller
-    FROM timed_t o JOIN customers_t c USING (customer_id)
+    FROM timed_t o LEFT JOIN customers_t c USING (customer_id)
     LEFT JOIN item_sums i USING (order_id) LEFT JOIN payment_sums p USING (order_id)
     LEFT JOIN review_sums r USING (order_id)""",
     "kpis_t": f"""

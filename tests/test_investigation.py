@@ -235,7 +235,10 @@ def test_diagnosis(one_issue):
 def test_brief_lists_and_escapes(one_issue):
     text = reports.brief(one_issue).first().brief
     assert "Period: January 2018 to February 2018. Severity: High." in text
-    assert "fell by 9.43 percentage points; about 77.50 orders" in text
+    assert "On-time change: -9.43 pp (threshold -5 pp). Excess late orders: 77.50." in text
+    assert "- concentration: two states (63.2%)" in text
+    assert "- look at RJ, SP, M|G\n- compare transit times by route" in text
+    assert "delivery dates are estimated" not in text
     assert "| M\\|G | 60 | 20 |" in text
     assert "| Eligible orders | 240 | 250 | +10 |" in text
     assert "| s0 | SP | 60 | 30 |" in text

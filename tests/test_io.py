@@ -9,10 +9,10 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from dispatchlens.plans import reports, shared, store
+from dispatchlens.plans import gate, reports, shared, store
 from dispatchlens.plans.analysis import Analysis
 from dispatchlens.plans.session import recommended_options
-from dispatchlens.schemas import CLEAN_TABLES, RAW_COLUMNS
+from dispatchlens.schemas import CLEAN_TABLES, KEYS, RAW_COLUMNS
 from dispatchlens.sources import csv_files, sinks, star_schema
 
 from __spark_entry__ import SETTINGS
@@ -135,6 +135,10 @@ def database(spark, tmp_path):
 def valid_analysis(spark):
     """The given tables without the defects that a strict load refuses."""
     raw = dict(star_schema.load(spark, SF))
+    raw["orders"] = raw["orders"].join(raw["customers"].select("customer_id"), "customer_id", "left_semi")
+    for child in ("order_items", "payments", "reviews"):
+        whole = raw[child].join(raw["orders"].select("order_id"), "order_id", "left_semi")
+        raw[child] = whole.dropDuplicates(KEYS[child])
     lookup = raw["products"].select("product_category_name").distinct().dropna()
     raw["category_translation"] = lookup.withColumn(
         "product_category_name_english", F.lower("product_category_name")
@@ -145,11 +149,10 @@ def valid_analysis(spark):
 def test_bootstrap_loads_once(spark, database):
     analysis = valid_analysis(spark)
     report = store.bootstrap(spark, analysis, database).collect()
-    assert len(report) == 7 and {r.status for r in report} == {"OK"}
+    assert len(report) == 7 + 3 and {r.status for r in report} == {"OK"}
     again = store.bootstrap(spark, analysis, database).collect()
     assert sorted(map(str, again)) == sorted(map(str, report))
     loaded = store.loaded_analysis(spark, database, SETTINGS)
-    store.create_views(loaded)
     got = spark.table("monthly_kpis").orderBy("purchase_month").collect()
     assert got == analysis.monthly_kpis.orderBy("purchase_month").collect()
     facts = loaded.order_facts
@@ -238,3 +241,43 @@ def test_session_options_grow_with_the_input():
     assert small["spark.sql.shuffle.partitions"] == "8"
     assert 8_000 < int(large["spark.sql.shuffle.partitions"]) <= 50_000
     assert large["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_bootstrap_lists_what_is_wrong_before_it_writes(spark, database):
+    raw = dict(star_schema.load(spark, SF))
+    with pytest.raises(sinks.LoadError, match="repeated key: order_items") as failed:
+        store.bootstrap(spark, Analysis(raw, SETTINGS, star_schema.MANUAL_TRANSLATIONS), database)
+    assert "unmapped category: products" in str(failed.value)
+    assert all(spark.table(f"{database}.{name}").isEmpty() for name in CLEAN_TABLES)
+    text = star_schema.as_text(raw)
+    text["orders"] = text["orders"].withColumn("order_approved_at", F.lit("never"))
+    with pytest.raises(sinks.LoadError, match="unreadable: orders.order_approved_at"):
+        gate.require_clean(Analysis(text, SETTINGS, star_schema.MANUAL_TRANSLATIONS))
+
+
+def test_bootstrap_takes_up_a_broken_load(spark, database):
+    analysis = valid_analysis(spark)
+    for name, schema in CLEAN_TABLES.items():
+        sinks.create_table(spark, f"{database}.{name}", schema)
+    for name in ("customers", "sellers"):
+        schema = CLEAN_TABLES[name]
+        frame = analysis.clean_tables()[name].select(*schema.fieldNames())
+        sinks.load_table(frame, f"{database}.{name}", schema)
+    report = store.bootstrap(spark, analysis, database, resume=True).collect()
+    assert {r.status for r in report} == {"OK"}
+
+
+def test_reports_replace_and_leave_nothing_when_empty(spark, tmp_path):
+    frame, order = spark.createDataFrame([(2,), (1,)], "n int"), [F.asc("n")]
+    path = str(tmp_path / "report")
+    with pytest.raises(ValueError, match="holds no rows"):
+        sinks.write_report(frame.limit(0), path, order)
+    assert list(tmp_path.iterdir()) == []
+    assert sinks.write_report(frame, path, order) == 2
+    with pytest.raises(ValueError, match="exists"):
+        sinks.write_report(frame, path, order)
+    with pytest.raises(ValueError, match="holds no rows"):
+        sinks.write_report(frame.limit(0), path, order, replace=True)
+    assert spark.read.csv(path, header=True).count() == 2
+    assert sinks.write_report(frame.limit(1), path, order, replace=True) == 1
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["report"]
