@@ -2,11 +2,12 @@
 
 1. Each text becomes its set of distinct word shingles, a 128-bit fingerprint of the
    set and its registers.  Equal sets are one class from here on.
-2. Bands of registers are hashed; classes that share a band are candidates.  A band's
-   members are compared with one member, the centre; a few rounds with other centres
-   follow among members that are not connected yet, and at last all pairs of a band
-   that are still apart.  No round emits pairs of classes known to be connected, so a
-   large group of near copies costs rows in proportion to its size.
+2. Bands of registers are hashed; classes that share a band are candidates.  First a
+   band's members are compared with one member, the centre.  Where members are not
+   connected then, their registers are compared in blocks, and each proposes the few
+   partners that are most likely above the threshold.  Among those that are still apart,
+   at last, every pair that may be above it is proposed.  A large group of near copies
+   thus costs rows in proportion to its size, and no link is left out.
 3. A candidate pair's similarity is estimated from both registers by likelihood; a pair
    far below the threshold ends here.  The rest is counted on the full sets.
 4. Verified links become connected components.
@@ -33,15 +34,17 @@ class Settings:
 
     ``rows`` registers make a band; a pair at the threshold of 0.8 misses all bands
     with probability (1 - 0.8**rows) ** (registers / rows), below 1e-5.  ``slack`` is
-    how far under the threshold an estimate may be before the pair is dropped, about
-    six standard deviations.
+    how far under the threshold an estimate may be before the pair is dropped, four
+    standard deviations.  ``partners``: proposals of a member in the second round.
+    ``block``: members of a band that are compared in one go.
     """
 
     width: int = 5
     percent: int = 80
     rows: int = 5
-    slack: float = 0.2
-    centres: int = 2
+    slack: float = 0.13
+    partners: int = 3
+    block: int = 512
 
 
 def _sketched(width: int, full: bool):
@@ -81,16 +84,16 @@ def sets_of(docs: DataFrame, width: int, full: bool = False) -> DataFrame:
     )
 
 
+def _registers(column: pa.Array) -> np.ndarray:
+    raw = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16)
+    return raw.reshape(-1, setsketch.REGISTERS)
+
+
 def _estimated(batches):
     """Adds the likely similarity to pairs with both registers."""
     for batch in batches:
         table = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-        a, b = (
-            np.frombuffer(b"".join(table[c].to_pylist()), dtype=np.uint16).reshape(
-                -1, setsketch.REGISTERS
-            )
-            for c in ("registers_a", "registers_b")
-        )
+        a, b = (_registers(table[c]) for c in ("registers_a", "registers_b"))
         sizes = [table[c].to_numpy().astype(float) for c in ("n_a", "n_b")]
         likely = setsketch.likely_similarity(a, b, *sizes)
         yield pa.RecordBatch.from_arrays(
@@ -98,6 +101,86 @@ def _estimated(batches):
         )
 
 
+def _proposals(settings: Settings, partners: int | None):
+    """Pairs of rows of one (band, i, j) whose likely similarity is near the threshold.
+
+    The rows come sorted by group.  Pairs of one component, of sizes too far apart, and,
+    in a group of two blocks, of the same block are passed over.  With ``partners`` each
+    row proposes that many at most.
+    """
+    floor = settings.percent / 100 - settings.slack
+    pairs_at_once = 1 << 15
+
+    def near(table: dict[str, np.ndarray], registers: np.ndarray):
+        group = np.cumsum(
+            np.append(True, np.any([table[c][1:] != table[c][:-1] for c in ("band", "i", "j")], axis=0))
+        )
+        after = np.searchsorted(group, group, side="right") - np.arange(len(group)) - 1
+        row = 0
+        while row < len(group):
+            total = np.cumsum(after[row:])
+            stop = row + max(1, int(np.searchsorted(total, pairs_at_once, side="right")))
+            left = np.repeat(np.arange(row, stop), after[row:stop])
+            first = np.cumsum(after[row:stop]) - after[row:stop]
+            right = left + 1 + np.arange(len(left)) - np.repeat(first, after[row:stop])
+            n_a, n_b = table["n"][left], table["n"][right]
+            open_ = (table["root"][left] != table["root"][right]) & (
+                100 * np.minimum(n_a, n_b) >= settings.percent * np.maximum(n_a, n_b)
+            )
+            open_ &= (table["i"][left] == table["j"][left]) | (table["block"][left] != table["block"][right])
+            left, right = left[open_], right[open_]
+            equal = (registers[left] == registers[right]).sum(axis=1)
+            # Registers agree at least as often as elements do.
+            maybe = equal >= (floor - 0.1) * setsketch.REGISTERS
+            left, right = left[maybe], right[maybe]
+            if len(left):
+                likely = setsketch.likely_similarity(
+                    registers[left], registers[right],
+                    table["n"][left].astype(float), table["n"][right].astype(float),
+                )
+                good = likely >= floor
+                yield left[good], right[good], likely[good]
+            row = stop
+
+    def pairs(rows: pa.Table):
+        table = {c: rows.column(c).to_numpy() for c in ("band", "i", "j", "block", "n", "root")}
+        found = list(near(table, _registers(rows.column("registers"))))
+        if not found:
+            return None
+        left, right, likely = (np.concatenate(x) for x in zip(*found))
+        if partners:
+            one, other = np.concatenate([left, right]), np.concatenate([right, left])
+            order = np.lexsort((-np.concatenate([likely, likely]), one))
+            one, other = one[order], other[order]
+            rank = np.arange(len(one)) - np.searchsorted(one, one)
+            one, other = one[rank < partners], other[rank < partners]
+            left, right = np.minimum(one, other), np.maximum(one, other)
+        keys = rows.column("key").combine_chunks()
+        a, b = keys.take(pa.array(left)).to_pylist(), keys.take(pa.array(right)).to_pylist()
+        ordered = sorted({(min(x, y), max(x, y)) for x, y in zip(a, b)})
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p[k] for p in ordered], type=pa.binary()) for k in (0, 1)], names=["a", "b"]
+        )
+
+    def run(batches):
+        held: pa.Table | None = None
+        for batch in batches:
+            more = pa.Table.from_batches([batch])
+            held = more if held is None else pa.concat_tables([held, more])
+            if len(held) < 4096:
+                continue
+            ends = [held.column(c).to_numpy() for c in ("band", "i", "j")]
+            last = np.all([c == c[-1] for c in ends], axis=0)
+            complete = int(np.argmax(last))
+            if complete and (out := pairs(held.slice(0, complete))) is not None:
+                yield out
+            held = held.slice(complete)
+        if held is not None and len(held) and (out := pairs(held)) is not None:
+            yield out
+
+    return run
+
+
 def _verified(percent: int):
     def run(batches):
         for batch in batches:
@@ -185,29 +268,17 @@ def _roots(docs: DataFrame, classes: DataFrame, settings: Settings, scratch: Scr
         .groupBy("key")
         .agg(F.first("elements").alias("elements"))
     )
-    done = labels = None
-    for step in range(settings.centres + 1):
-        named = shared if labels is None else _apart(shared, labels)
-        if labels is not None:
-            named = scratch.keep(named)
-            if named.isEmpty():
-                break
-        if step < settings.centres:
-            pairs = _with_centre(named, step, labels is not None)
-        else:
-            pairs = _across(named)
-        pairs = pairs.where(
-            100 * F.least("n_a", "n_b") >= settings.percent * F.greatest("n_a", "n_b")
-        ).select("a", "b").distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = scratch.keep(pairs)
-        found = scratch.keep(_confirm(pairs, classes, elements, settings))
-        done = pairs if done is None else done.union(pairs)
-        if labels is not None:
-            found = found.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        labels = components(found, scratch)
-    return labels
+    pairs = _likely(_with_centre(shared, settings), classes, settings)
+    roots = components(_confirm(pairs, elements, settings), scratch)
+    for partners in (settings.partners, None):
+        apart = scratch.keep(_apart(shared, roots))
+        if apart.isEmpty():
+            break
+        pairs = scratch.keep(_proposed(apart, classes, settings, partners).distinct())
+        found = _confirm(pairs, elements, settings)
+        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(found.union(known), scratch)
+    return roots
 
 
 def _apart(shared: DataFrame, labels: DataFrame) -> DataFrame:
@@ -220,44 +291,60 @@ def _apart(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(split.where("x != y").select("band"), "band")
 
 
-def _with_centre(named: DataFrame, step: int, labelled: bool) -> DataFrame:
+def _with_centre(members: DataFrame, settings: Settings) -> DataFrame:
     """Each band's members paired with the band's member of smallest hash."""
-    fields = ["key", "n"] + (["root"] if labelled else [])
-    centre = named.groupBy("band").agg(
-        F.min(F.struct(F.xxhash64("key", F.lit(step)).alias("h"), *fields)).alias("c")
+    centre = members.groupBy("band").agg(
+        F.min(F.struct(F.xxhash64("key").alias("h"), "key", "n")).alias("c")
     )
-    pairs = named.join(centre, "band").where(F.col("key") != F.col("c.key"))
-    if labelled:
-        pairs = pairs.where(F.col("root") != F.col("c.root"))
+    pairs = members.join(centre, "band").where(F.col("key") != F.col("c.key"))
     first = F.col("key") < F.col("c.key")
-    return pairs.select(
-        F.when(first, F.col("key")).otherwise(F.col("c.key")).alias("a"),
-        F.when(first, F.col("c.key")).otherwise(F.col("key")).alias("b"),
-        F.col("n").alias("n_a"),
-        F.col("c.n").alias("n_b"),
+    return (
+        pairs.where(100 * F.least("n", "c.n") >= settings.percent * F.greatest("n", "c.n"))
+        .select(
+            F.when(first, F.col("key")).otherwise(F.col("c.key")).alias("a"),
+            F.when(first, F.col("c.key")).otherwise(F.col("key")).alias("b"),
+        )
+        .distinct()
     )
 
 
-def _across(named: DataFrame) -> DataFrame:
-    """Pairs of a band's members whose components are not connected yet."""
-    x = named.select("band", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("ra"))
-    y = named.select("band", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("rb"))
-    return x.join(y, "band").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")))
-
-
-def _confirm(
-    pairs: DataFrame, classes: DataFrame, elements: DataFrame, settings: Settings
-) -> DataFrame:
-    likely = (
+def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    return (
         pairs.join(_side(classes, "a", "n", "registers"), "a")
         .join(_side(classes, "b", "n", "registers"), "b")
         .select("a", "b", "n_a", "n_b", "registers_a", "registers_b")
         .mapInArrow(_estimated, "a binary, b binary, likely double")
         .where(F.col("likely") >= settings.percent / 100 - settings.slack)
+        .select("a", "b")
     )
+
+
+def _proposed(
+    apart: DataFrame, classes: DataFrame, settings: Settings, partners: int | None
+) -> DataFrame:
+    """Likely pairs within each band; a crowded band is compared block by block."""
+    blocks = apart.groupBy("band").agg(F.ceil(F.count("*") / settings.block).alias("blocks"))
+    placed = apart.join(blocks, "band").withColumn(
+        "block", F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks"))
+    )
+    placed = placed.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = placed.join(classes.select("key", "registers"), "key").select(
+        "band",
+        F.least("block", "k").alias("i"),
+        F.greatest("block", "k").alias("j"),
+        "block",
+        "n",
+        F.xxhash64("root").alias("root"),
+        "key",
+        "registers",
+    )
+    grouped = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return grouped.mapInArrow(_proposals(settings, partners), "a binary, b binary")
+
+
+def _confirm(pairs: DataFrame, elements: DataFrame, settings: Settings) -> DataFrame:
     return (
-        likely.select("a", "b")
-        .join(_side(elements, "a", "elements"), "a")
+        pairs.join(_side(elements, "a", "elements"), "a")
         .join(_side(elements, "b", "elements"), "b")
         .select("a", "b", "elements_a", "elements_b")
         .mapInArrow(_verified(settings.percent), "a binary, b binary, linked boolean")
