@@ -2,14 +2,13 @@
 
 1. Each text becomes its set of distinct word shingles, a 128-bit fingerprint of the
    set and its registers.  Equal sets are one class from here on.
-2. Bands of registers are hashed; classes that share a band are candidates.  First a
-   band's members are compared with one member, the centre.  Where members are not
-   connected then, their registers are compared in blocks, and each proposes the few
-   partners that are most likely above the threshold.  Among those that are still apart,
-   at last, every pair that may be above it is proposed.  A large group of near copies
-   thus costs rows in proportion to its size, and no link is left out.
-3. A candidate pair's similarity is estimated from both registers by likelihood; a pair
-   far below the threshold ends here.  The rest is counted on the full sets.
+2. Bands of registers are hashed; classes that share a band are candidates.  Their
+   registers are compared, block by block, and the similarity estimated by likelihood.
+   Classes that are likely near the threshold form a cluster; a block hands on only
+   edges that connect it, so a large group of near copies costs rows in proportion.
+3. Within a cluster the full sets are counted, pair by pair, but for pairs that are
+   connected already.  Blocks of a large cluster are dealt anew and at last, where parts
+   are still apart, compared with each other.  No link is left out.
 4. Verified links become connected components.
 """
 
@@ -35,15 +34,13 @@ class Settings:
     ``rows`` registers make a band; a pair at the threshold of 0.8 misses all bands
     with probability (1 - 0.8**rows) ** (registers / rows), below 1e-5.  ``slack`` is
     how far under the threshold an estimate may be before the pair is dropped, four
-    standard deviations.  ``partners``: proposals of a member in the second round.
-    ``block``: members of a band that are compared in one go.
+    standard deviations.  ``block``: members that are compared in one go.
     """
 
     width: int = 5
     percent: int = 80
     rows: int = 5
     slack: float = 0.13
-    partners: int = 3
     block: int = 512
 
 
@@ -89,75 +86,108 @@ def _registers(column: pa.Array) -> np.ndarray:
     return raw.reshape(-1, setsketch.REGISTERS)
 
 
-def _estimated(batches):
-    """Adds the likely similarity to pairs with both registers."""
-    for batch in batches:
-        table = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-        a, b = (_registers(table[c]) for c in ("registers_a", "registers_b"))
-        sizes = [table[c].to_numpy().astype(float) for c in ("n_a", "n_b")]
-        likely = setsketch.likely_similarity(a, b, *sizes)
-        yield pa.RecordBatch.from_arrays(
-            [table["a"], table["b"], pa.array(likely)], names=["a", "b", "likely"]
-        )
+class _Forest:
+    """Which members of a block are connected, and the edges that did it."""
+
+    def __init__(self, labels: np.ndarray):
+        """``labels``: equal where two members are known to be connected."""
+        self.label = np.unique(labels, return_inverse=True)[1]
+        self.edges: list[tuple[int, int]] = []
+
+    def connect(self, a: int, b: int) -> None:
+        one, other = self.label[a], self.label[b]
+        if one != other:
+            self.label[self.label == other] = one
+            self.edges.append((a, b))
 
 
-def _proposals(settings: Settings, partners: int | None):
-    """Pairs of rows of one (band, i, j) whose likely similarity is near the threshold.
+def _likely_pairs(rows: dict[str, np.ndarray], settings: Settings, forest: _Forest):
+    """Pairs of rows whose likely similarity is near the threshold, some at a time.
 
-    The rows come sorted by group.  Pairs of one component, of sizes too far apart, and,
-    in a group of two blocks, of the same block are passed over.  With ``partners`` each
-    row proposes that many at most.
+    Pairs that are connected, of sizes too far apart, or, where two blocks meet, of the
+    same block are passed over.
     """
     floor = settings.percent / 100 - settings.slack
-    pairs_at_once = 1 << 15
-
-    def near(table: dict[str, np.ndarray], registers: np.ndarray):
-        group = np.cumsum(
-            np.append(True, np.any([table[c][1:] != table[c][:-1] for c in ("band", "i", "j")], axis=0))
-        )
-        after = np.searchsorted(group, group, side="right") - np.arange(len(group)) - 1
-        row = 0
-        while row < len(group):
-            total = np.cumsum(after[row:])
-            stop = row + max(1, int(np.searchsorted(total, pairs_at_once, side="right")))
-            left = np.repeat(np.arange(row, stop), after[row:stop])
-            first = np.cumsum(after[row:stop]) - after[row:stop]
-            right = left + 1 + np.arange(len(left)) - np.repeat(first, after[row:stop])
-            n_a, n_b = table["n"][left], table["n"][right]
-            open_ = (table["root"][left] != table["root"][right]) & (
-                100 * np.minimum(n_a, n_b) >= settings.percent * np.maximum(n_a, n_b)
+    at_once = 1 << 14
+    n, block, registers = rows["n"], rows["block"], rows["registers"]
+    across = rows["i"][0] != rows["j"][0]
+    low = 0
+    while low < len(n) - 1:
+        high = min(len(n) - 1, low + max(1, at_once // len(n)))
+        left, right = (x.reshape(-1) for x in np.meshgrid(np.arange(low, high), np.arange(low + 1, len(n)), indexing="ij"))
+        open_ = (left < right) & (forest.label[left] != forest.label[right])
+        open_ &= 100 * np.minimum(n[left], n[right]) >= settings.percent * np.maximum(n[left], n[right])
+        if across:
+            open_ &= block[left] != block[right]
+        left, right = left[open_], right[open_]
+        # Registers agree at least as often as elements do.
+        equal = (registers[left] == registers[right]).sum(axis=1)
+        maybe = equal >= (floor - 0.1) * setsketch.REGISTERS
+        left, right = left[maybe], right[maybe]
+        if len(left):
+            likely = setsketch.likely_similarity(
+                registers[left], registers[right], n[left].astype(float), n[right].astype(float)
             )
-            open_ &= (table["i"][left] == table["j"][left]) | (table["block"][left] != table["block"][right])
-            left, right = left[open_], right[open_]
-            equal = (registers[left] == registers[right]).sum(axis=1)
-            # Registers agree at least as often as elements do.
-            maybe = equal >= (floor - 0.1) * setsketch.REGISTERS
-            left, right = left[maybe], right[maybe]
-            if len(left):
-                likely = setsketch.likely_similarity(
-                    registers[left], registers[right],
-                    table["n"][left].astype(float), table["n"][right].astype(float),
-                )
-                good = likely >= floor
-                yield left[good], right[good], likely[good]
-            row = stop
-
-    def pairs(rows: pa.Table):
-        table = {c: rows.column(c).to_numpy() for c in ("band", "i", "j", "block", "n", "root")}
-        found = list(near(table, _registers(rows.column("registers"))))
-        if not found:
-            return None
-        left, right, likely = (np.concatenate(x) for x in zip(*found))
-        if partners:
-            one, other = np.concatenate([left, right]), np.concatenate([right, left])
-            order = np.lexsort((-np.concatenate([likely, likely]), one))
-            one, other = one[order], other[order]
-            rank = np.arange(len(one)) - np.searchsorted(one, one)
-            one, other = one[rank < partners], other[rank < partners]
-            left, right = np.minimum(one, other), np.maximum(one, other)
-        keys = rows.column("key").combine_chunks()
-        a, b = keys.take(pa.array(left)).to_pylist(), keys.take(pa.array(right)).to_pylist()
-        ordered = sorted({(min(x, y), max(x, y)) for x, y in zip(a, b)})
+            good = likely >= floor
+            # The most likely first: they connect most.
+            order = np.argsort(-likely[good], kind="stable")
+            yield left[good][order], right[good][order]
+        low = high
+
+
+def _cluster(rows: dict[str, np.ndarray], settings: Settings) -> _Forest:
+    """Connects members that are likely near the threshold."""
+    forest = _Forest(np.arange(len(rows["n"])))
+    for left, right in _likely_pairs(rows, settings, forest):
+        for a, b in zip(left.tolist(), right.tolist()):
+            forest.connect(a, b)
+    return forest
+
+
+def _verify(rows: dict[str, np.ndarray], settings: Settings) -> _Forest:
+    """Connects members whose full sets are similar enough."""
+    forest = _Forest(rows["root"])
+    sets = [np.frombuffer(raw, dtype=np.uint64) for raw in rows["elements"]]
+    for left, right in _likely_pairs(rows, settings, forest):
+        for a, b in zip(left.tolist(), right.tolist()):
+            if forest.label[a] != forest.label[b] and similar(sets[a], sets[b], settings.percent):
+                forest.connect(a, b)
+    return forest
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union, for sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    common = int((y[at] == x).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _by_group(compare, settings: Settings):
+    """Runs ``compare`` on every (group, i, j) of sorted rows; gives the edges found."""
+    names = ["group", "i", "j"]
+
+    def edges(table: pa.Table):
+        table = table.combine_chunks()
+        columns = {c: table.column(c).to_numpy() for c in ("group", "i", "j", "block", "n", "root")}
+        columns["registers"] = np.frombuffer(
+            b"".join(table.column("registers").to_pylist()), dtype=np.uint16
+        ).reshape(-1, setsketch.REGISTERS)
+        if "elements" in table.column_names:
+            columns["elements"] = np.array([*table.column("elements").to_pylist(), None], dtype=object)[:-1]
+        keys = table.column("key").to_pylist()
+        new = np.any([columns[c][1:] != columns[c][:-1] for c in names], axis=0)
+        starts = np.flatnonzero(np.append(True, new)).tolist()
+        found = set()
+        for a, b in zip(starts, [*starts[1:], len(keys)]):
+            if b - a > 1:
+                forest = compare({c: v[a:b] for c, v in columns.items()}, settings)
+                for x, y in forest.edges:
+                    x, y = keys[a + x], keys[a + y]
+                    found.add((min(x, y), max(x, y)))
+        ordered = sorted(found)
         return pa.RecordBatch.from_arrays(
             [pa.array([p[k] for p in ordered], type=pa.binary()) for k in (0, 1)], names=["a", "b"]
         )
@@ -167,46 +197,17 @@ def _proposals(settings: Settings, partners: int | None):
         for batch in batches:
             more = pa.Table.from_batches([batch])
             held = more if held is None else pa.concat_tables([held, more])
-            if len(held) < 4096:
-                continue
-            ends = [held.column(c).to_numpy() for c in ("band", "i", "j")]
-            last = np.all([c == c[-1] for c in ends], axis=0)
-            complete = int(np.argmax(last))
-            if complete and (out := pairs(held.slice(0, complete))) is not None:
-                yield out
-            held = held.slice(complete)
-        if held is not None and len(held) and (out := pairs(held)) is not None:
-            yield out
+            ends = [held.column(c).to_numpy() for c in names]
+            complete = int(np.argmax(np.all([c == c[-1] for c in ends], axis=0))) if len(held) else 0
+            if complete:
+                yield edges(held.slice(0, complete))
+                held = held.slice(complete)
+        if held is not None and len(held):
+            yield edges(held)
 
     return run
 
 
-def _verified(percent: int):
-    def run(batches):
-        for batch in batches:
-            table = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            linked = []
-            for x, y in zip(table["elements_a"], table["elements_b"]):
-                x = np.frombuffer(x.as_py(), dtype=np.uint64)
-                y = np.frombuffer(y.as_py(), dtype=np.uint64)
-                at = np.searchsorted(x, y)
-                at[at == len(x)] = 0
-                common = int((x[at] == y).sum())
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays(
-                [table["a"], table["b"], pa.array(linked, type=pa.bool_())],
-                names=["a", "b", "linked"],
-            )
-
-    return run
-
-
-def _side(table: DataFrame, name: str, *columns: str) -> DataFrame:
-    return table.select(
-        F.col("key").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns]
-    )
-
-
 def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, key, n_shingles, component_id, kept``.
 
@@ -256,101 +257,84 @@ def _roots(docs: DataFrame, classes: DataFrame, settings: Settings, scratch: Scr
     members = classes.select("key", "n", F.explode(band).alias("band"))
     crowded = members.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
     shared = scratch.keep(members.join(crowded.select("band"), "band"))
-    wanted = shared.select("key").distinct().join(classes.select("key", "doc_id"), "key")
+    groups = shared.select(F.col("band").alias("group"), "key", "n", F.xxhash64("key").alias("root"))
+    likely = _compared(_blocks(groups, settings, 0, True), classes, _cluster, settings)
+    clusters = scratch.keep(components(likely, scratch))
+    scratch.drop(shared)
+    named = clusters.select(F.col("node").alias("key"), "root").union(
+        clusters.select(F.col("root").alias("key"), "root").distinct()
+    )
+    named = scratch.keep(
+        named.join(classes.select("key", "n", "doc_id"), "key").select(
+            "key", "n", "doc_id", F.xxhash64("root").alias("group")
+        )
+    )
+    elements = scratch.keep(_elements(docs, named, settings))
+    full = classes.select("key", "registers").join(elements, "key")
+    roots = None
+    # Blocks on their own, dealt in two ways; then blocks against each other.
+    for salt, across in ((0, False), (1, False), (2, True)):
+        members = _open(named, roots, settings) if roots is not None else named.withColumn("root", F.xxhash64("key"))
+        members = scratch.keep(members.select("group", "key", "n", "root"))
+        if members.isEmpty():
+            break
+        found = _compared(_blocks(members, settings, salt, across), full, _verify, settings)
+        if roots is not None:
+            found = found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = components(found, scratch)
+    return roots if roots is not None else clusters.limit(0)
+
+
+def _elements(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
+    """The full sets of the classes that are in a cluster."""
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(
         wanted.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi"
     )
-    if not classes.where("doc_id is null").isEmpty():
+    if not wanted.where("doc_id is null").isEmpty():
         texts = texts.union(docs.where("doc_id is null").select(F.col("doc_id").cast("long"), "text"))
-    elements = scratch.keep(
+    return (
         sets_of(texts, settings.width, full=True)
         .join(wanted.select("key"), "key", "left_semi")
         .groupBy("key")
         .agg(F.first("elements").alias("elements"))
     )
-    pairs = _likely(_with_centre(shared, settings), classes, settings)
-    roots = components(_confirm(pairs, elements, settings), scratch)
-    for partners in (settings.partners, None):
-        apart = scratch.keep(_apart(shared, roots))
-        if apart.isEmpty():
-            break
-        pairs = scratch.keep(_proposed(apart, classes, settings, partners).distinct())
-        found = _confirm(pairs, elements, settings)
-        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = components(found.union(known), scratch)
-    return roots
 
 
-def _apart(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members, with labels, of the bands that hold more than one component."""
-    named = shared.select("key", "n", "band").join(
-        labels.select(F.col("node").alias("key"), "root"), "key", "left"
-    )
-    named = named.select("key", "n", "band", F.coalesce("root", "key").alias("root"))
-    split = named.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-    return named.join(split.where("x != y").select("band"), "band")
-
-
-def _with_centre(members: DataFrame, settings: Settings) -> DataFrame:
-    """Each band's members paired with the band's member of smallest hash."""
-    centre = members.groupBy("band").agg(
-        F.min(F.struct(F.xxhash64("key").alias("h"), "key", "n")).alias("c")
-    )
-    pairs = members.join(centre, "band").where(F.col("key") != F.col("c.key"))
-    first = F.col("key") < F.col("c.key")
-    return (
-        pairs.where(100 * F.least("n", "c.n") >= settings.percent * F.greatest("n", "c.n"))
-        .select(
-            F.when(first, F.col("key")).otherwise(F.col("c.key")).alias("a"),
-            F.when(first, F.col("c.key")).otherwise(F.col("key")).alias("b"),
-        )
-        .distinct()
+def _open(named: DataFrame, roots: DataFrame, settings: Settings) -> DataFrame:
+    """Members, with components, of clusters of several blocks that hold several components."""
+    known = roots.select(F.col("node").alias("key"), F.col("root").alias("r"))
+    rows = named.join(known, "key", "left").select(
+        "group", "key", "n", F.xxhash64(F.coalesce("r", "key")).alias("root")
     )
-
-
-def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    return (
-        pairs.join(_side(classes, "a", "n", "registers"), "a")
-        .join(_side(classes, "b", "n", "registers"), "b")
-        .select("a", "b", "n_a", "n_b", "registers_a", "registers_b")
-        .mapInArrow(_estimated, "a binary, b binary, likely double")
-        .where(F.col("likely") >= settings.percent / 100 - settings.slack)
-        .select("a", "b")
+    split = rows.groupBy("group").agg(
+        F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("c")
     )
+    return rows.join(split.where((F.col("x") != F.col("y")) & (F.col("c") > settings.block)).select("group"), "group")
 
 
-def _proposed(
-    apart: DataFrame, classes: DataFrame, settings: Settings, partners: int | None
-) -> DataFrame:
-    """Likely pairs within each band; a crowded band is compared block by block."""
-    blocks = apart.groupBy("band").agg(F.ceil(F.count("*") / settings.block).alias("blocks"))
-    placed = apart.join(blocks, "band").withColumn(
-        "block", F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks"))
+def _blocks(members: DataFrame, settings: Settings, salt: int, across: bool) -> DataFrame:
+    """Members dealt into blocks of their group; ``across``: every two blocks meet too."""
+    counts = members.groupBy("group").agg(F.ceil(F.count("*") / settings.block).alias("blocks"))
+    dealt = members.join(counts, "group").withColumn(
+        "block", F.pmod(F.xxhash64("key", F.lit(salt)), F.col("blocks"))
     )
-    placed = placed.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = placed.join(classes.select("key", "registers"), "key").select(
-        "band",
-        F.least("block", "k").alias("i"),
-        F.greatest("block", "k").alias("j"),
-        "block",
-        "n",
-        F.xxhash64("root").alias("root"),
-        "key",
-        "registers",
-    )
-    grouped = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    return grouped.mapInArrow(_proposals(settings, partners), "a binary, b binary")
-
-
-def _confirm(pairs: DataFrame, elements: DataFrame, settings: Settings) -> DataFrame:
-    return (
-        pairs.join(_side(elements, "a", "elements"), "a")
-        .join(_side(elements, "b", "elements"), "b")
-        .select("a", "b", "elements_a", "elements_b")
-        .mapInArrow(_verified(settings.percent), "a binary, b binary, linked boolean")
-        .where("linked")
-        .select("a", "b")
+    if not across:
+        return dealt.withColumn("i", F.col("block")).withColumn("j", F.col("block")).drop("blocks")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = dealt.withColumn("k", every)
+    return dealt.select(
+        "group", "key", "n", "root", "block",
+        F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"),
+    )
+
+
+def _compared(blocks: DataFrame, values: DataFrame, compare, settings: Settings) -> DataFrame:
+    columns = [c for c in ("registers", "elements") if c in values.columns]
+    rows = blocks.join(values.select("key", *columns), "key").select(
+        "group", "i", "j", "block", "n", "root", "key", *columns
     )
+    grouped = rows.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j")
+    return grouped.mapInArrow(_by_group(compare, settings), "a binary, b binary")
 
 
 def dedup(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
