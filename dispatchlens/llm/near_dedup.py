@@ -165,6 +165,65 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
+_SMALL = 32  # groups up to this size are compared many at a time
+
+
+def _small_groups(columns: dict, starts: np.ndarray, stops: np.ndarray, settings: Settings):
+    """Edges that connect the members of all small groups; members are rows.
+
+    Without full sets an edge needs a likely pair; a pair that meets in several groups is
+    looked at once.  With full sets the pair is counted.
+    """
+    small = (stops - starts > 1) & (stops - starts <= _SMALL)
+    starts, stops = starts[small], stops[small]
+    if not len(starts):
+        return
+    rows = np.concatenate([np.arange(a, b) for a, b in zip(starts.tolist(), stops.tolist())])
+    after = np.repeat(stops, stops - starts) - rows - 1
+    left = np.repeat(rows, after)
+    right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
+    n, root, block, registers = (columns[c] for c in ("n", "root", "block", "registers"))
+    open_ = (root[left] != root[right]) & (
+        (columns["i"][left] == columns["j"][left]) | (block[left] != block[right])
+    )
+    open_ &= 100 * np.minimum(n[left], n[right]) >= settings.percent * np.maximum(n[left], n[right])
+    left, right = left[open_], right[open_]
+    sets = columns.get("elements")
+    if sets is None and len(left):
+        pair = np.stack([np.minimum(root[left], root[right]), np.maximum(root[left], root[right])], axis=1)
+        once = np.unique(pair.view([("a", np.int64), ("b", np.int64)]).reshape(-1), return_index=True)[1]
+        left, right = left[once], right[once]
+    floor = settings.percent / 100 - settings.slack
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    for low in range(0, len(left), 1 << 14):
+        a, b = left[low : low + (1 << 14)], right[low : low + (1 << 14)]
+        maybe = (registers[a] == registers[b]).sum(axis=1) >= (floor - 0.1) * setsketch.REGISTERS
+        a, b = a[maybe], b[maybe]
+        if not len(a):
+            continue
+        likely = setsketch.likely_similarity(
+            registers[a], registers[b], n[a].astype(float), n[b].astype(float)
+        )
+        good = likely >= floor
+        for x, y in zip(a[good].tolist(), b[good].tolist()):
+            one, other = find(int(root[x])), find(int(root[y]))
+            if one == other:
+                continue
+            if sets is not None:
+                raw = (np.frombuffer(sets[k], dtype=np.uint64) for k in (x, y))
+                if not similar(*raw, settings.percent):
+                    continue
+            parent[other] = one
+            yield x, y
+
+
 def _by_group(compare, settings: Settings):
     """Runs ``compare`` on every (group, i, j) of sorted rows; gives the edges found."""
     names = ["group", "i", "j"]
@@ -180,9 +239,13 @@ def _by_group(compare, settings: Settings):
         keys = table.column("key").to_pylist()
         new = np.any([columns[c][1:] != columns[c][:-1] for c in names], axis=0)
         starts = np.flatnonzero(np.append(True, new)).tolist()
-        found = set()
-        for a, b in zip(starts, [*starts[1:], len(keys)]):
-            if b - a > 1:
+        stops = [*starts[1:], len(keys)]
+        found = {
+            (min(keys[x], keys[y]), max(keys[x], keys[y]))
+            for x, y in _small_groups(columns, np.array(starts), np.array(stops), settings)
+        }
+        for a, b in zip(starts, stops):
+            if b - a > _SMALL:
                 forest = compare({c: v[a:b] for c, v in columns.items()}, settings)
                 for x, y in forest.edges:
                     x, y = keys[a + x], keys[a + y]

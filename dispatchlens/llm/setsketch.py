@@ -56,7 +56,7 @@ def sketch(elements: np.ndarray) -> np.ndarray:
 
 
 def likely_similarity(
-    a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, steps: int = 40
+    a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, steps: int = 25
 ) -> np.ndarray:
     """The Jaccard similarity of greatest joint likelihood, for rows of registers.
 
