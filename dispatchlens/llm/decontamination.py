@@ -28,7 +28,7 @@ from .scratch import Scratch, batches_of
 
 TERM_BITS = 14
 TERMS = 1 << TERM_BITS
-RANK = 48
+RANK = 40
 CELL = 6  # words; windows start with every cell
 CELLS = 4
 WINDOW = CELL * CELLS
@@ -102,17 +102,42 @@ def _pieces(lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return first + number * width, counts
 
 
+def _grid(held: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' pieces of ``width`` terms as rows, and pieces per text.
+
+    The last piece of a text is filled up with the term ``TERMS``, which weighs nothing.
+    """
+    lengths = np.array([len(t) for t in held])
+    counts = -(-lengths // width)
+    grid = np.full(int(counts.sum()) * width, TERMS, dtype=np.int32)
+    starts = (np.cumsum(counts) - counts) * width
+    shift = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+    grid[np.arange(len(shift)) + shift] = np.concatenate(held)
+    return grid.reshape(-1, width), counts
+
+
+def _row_sums(values: np.ndarray, grid: np.ndarray) -> np.ndarray:
+    """The sum of the terms' rows of ``values`` for every row of ``grid``."""
+    total = values[grid[:, 0]]
+    for k in range(1, grid.shape[1]):
+        total += values[grid[:, k]]
+    return total
+
+
+def _with_filler(values: np.ndarray) -> np.ndarray:
+    return np.concatenate([values, np.zeros((1, *values.shape[1:]), dtype=values.dtype)])
+
+
 def _passage_counts(batches):
     """In how many passages each term occurs; the number of passages under term -1."""
     totals, passages = np.zeros(TERMS, dtype=np.int64), 0
     for held, _ in _blocks(batches):
-        terms = np.concatenate(held)
-        lengths = np.array([len(t) for t in held])
-        first, _ = _pieces(lengths, WINDOW)
-        owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(terms))))
-        distinct = np.unique(owner * TERMS + terms)
-        totals += np.bincount(distinct % TERMS, minlength=TERMS)
-        passages += len(first)
+        grid, _ = _grid(held, WINDOW)
+        grid.sort(axis=1)
+        new = np.ones(grid.shape, dtype=bool)
+        new[:, 1:] = grid[:, 1:] != grid[:, :-1]
+        totals += np.bincount(grid[new], minlength=TERMS + 1)[:TERMS]
+        passages += len(grid)
     at = np.flatnonzero(totals)
     yield pa.RecordBatch.from_arrays(
         [
@@ -125,27 +150,23 @@ def _passage_counts(batches):
 
 def _product(idf: np.ndarray, directions: np.ndarray):
     """Each task's share of A^T A times ``directions``, A being passages by terms."""
-    scaled = (idf[:, None] * directions).astype(np.float32)
+    scaled = _with_filler((idf[:, None] * directions).astype(np.float32))
+    squares = _with_filler((idf**2).astype(np.float32))
 
     def run(batches):
         total = np.zeros((TERMS, directions.shape[1]))
         for held, _ in _blocks(batches):
-            lengths = np.array([len(t) for t in held])
-            first, _ = _pieces(lengths, WINDOW)
-            terms = np.concatenate(held)
-            owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(terms))))
-            heavy = idf[terms] > 0
-            terms, owner = terms[heavy], owner[heavy]
+            grid, _ = _grid(held, WINDOW)
+            norm = np.maximum(_row_sums(squares, grid), np.float32(1e-6))
+            passage = _row_sums(scaled, grid) / norm[:, None]
+            heavy = squares[grid] > 0
+            terms = grid[heavy]
             if not len(terms):
                 continue
-            starts = np.flatnonzero(np.diff(owner, prepend=-1))
-            norm = np.add.reduceat(idf[terms] ** 2, starts)
-            passage = np.add.reduceat(scaled[terms], starts, axis=0) / norm[:, None].astype(np.float32)
-            owner = np.cumsum(np.diff(owner, prepend=owner[0]) != 0)
-            order = np.argsort(terms, kind="stable")
-            ranked = terms[order]
-            groups = np.flatnonzero(np.diff(ranked.astype(np.int64), prepend=-1))
-            total[ranked[groups]] += np.add.reduceat(passage[owner[order]], groups, axis=0)
+            owner = np.repeat(np.arange(len(grid)), heavy.sum(axis=1))
+            by_direction = np.ascontiguousarray(passage.T.astype(np.float64))
+            for k, values in enumerate(by_direction):
+                total[:, k] += np.bincount(terms, weights=values[owner], minlength=TERMS)
         total *= idf[:, None]
         at = np.flatnonzero(total.any(axis=1))
         columns = [pa.array(at.astype(np.int32))] + [pa.array(c) for c in total[at].T.copy()]
@@ -228,11 +249,12 @@ def _search(latent: Latent, items: list[Item], settings: Settings):
     vectors, owners = [], []
     for k, item in enumerate(items):
         last = max(0, len(item.terms) - WINDOW)
-        for first in sorted({min(o, last) for o in range(0, CELL, 3)} | {last}):
+        for first in sorted({min(o, last) for o in range(0, CELL, 3)}):
             vectors.append(latent.project(item.terms[first : first + WINDOW]))
             owners.append(k)
     queries = np.array(vectors, dtype=np.float32).T.copy()
     owners = np.array(owners)
+    projection = _with_filler(latent.projection)
     member = np.zeros((len(items), TERMS), dtype=bool)
     for k, item in enumerate(items):
         member[k, item.terms] = True
@@ -259,8 +281,9 @@ def _search(latent: Latent, items: list[Item], settings: Settings):
         for held, names in _blocks(batches, ids=True):
             terms = np.concatenate(held)
             lengths = np.array([len(t) for t in held])
-            first, counts = _pieces(lengths, CELL)
-            cells = np.add.reduceat(latent.projection[terms], first, axis=0)
+            grid, counts = _grid(held, CELL)
+            cells = _row_sums(projection, grid)
+            first, _ = _pieces(lengths, CELL)
             text = np.repeat(np.arange(len(held)), counts)
             window, whole = cells.copy(), counts[text] <= CELLS
             for k in range(1, min(CELLS, len(cells))):
