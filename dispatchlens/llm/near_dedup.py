@@ -81,11 +81,6 @@ def sets_of(docs: DataFrame, width: int, full: bool = False) -> DataFrame:
     )
 
 
-def _registers(column: pa.Array) -> np.ndarray:
-    raw = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16)
-    return raw.reshape(-1, setsketch.REGISTERS)
-
-
 class _Forest:
     """Which members of a block are connected, and the edges that did it."""
 
