@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .scratch import batches_of
+from .scratch import batches_of, bound_batches
 
 BUCKETS = 1 << 13
 UNDETERMINED = "und"
@@ -26,6 +26,7 @@ AMBIGUOUS = 0.5  # a smaller score flags the document
 _SHARPNESS = 4.0
 _SMOOTHING = 0.5
 _LANGUAGES_AT_ONCE = 256
+_TEXTS_AT_ONCE = 128  # rows of the dense matrix of gram counts
 
 # a-z as they are, A-Z folded, bytes beyond ASCII as they are, all else a space.
 _LETTERS = np.full(256, 32, dtype=np.uint32)
@@ -137,6 +138,7 @@ class Model:
 
 def learn(docs: DataFrame, lang: str = "lang") -> Model:
     """A model of all rows of ``docs`` with a text and a label in column ``lang``."""
+    bound_batches(docs.sparkSession)
     labelled = docs.where(F.col(lang).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), _padded().alias("text")
     )
@@ -162,16 +164,21 @@ def _predictions(model: Model):
         for batch in batches:
             ids, lettered = (batch.column(k).to_pylist() for k in (0, 2))
             for low, high, data, offsets in words.chunks(batch.column(1), 1 << 18):
-                if len(data) > 2 and model.languages:
-                    grams, text = _grams(data, offsets)
-                    counts = np.bincount(text * BUCKETS + grams, minlength=(high - low) * BUCKETS)
-                    best, score = model.decide(counts.reshape(-1, BUCKETS).astype(np.float32))
-                for k in range(low, high):
-                    row = (ids[k], UNDETERMINED, 0.0)
-                    if lettered[k] and model.languages:
-                        row = (ids[k], model.languages[best[k - low]], float(score[k - low]))
-                    if (out := add(row)) is not None:
-                        yield out
+                for first in range(low, high, _TEXTS_AT_ONCE):
+                    last = min(first + _TEXTS_AT_ONCE, high)
+                    own = offsets[first - low : last - low + 1]
+                    if model.languages:
+                        grams, text = _grams(data[own[0] : own[-1]], own - own[0])
+                        counts = np.bincount(
+                            text * BUCKETS + grams, minlength=(last - first) * BUCKETS
+                        )
+                        best, score = model.decide(counts.reshape(-1, BUCKETS).astype(np.float32))
+                    for k in range(first, last):
+                        row = (ids[k], UNDETERMINED, 0.0)
+                        if lettered[k] and model.languages:
+                            row = (ids[k], model.languages[best[k - first]], float(score[k - first]))
+                        if (out := add(row)) is not None:
+                            yield out
         yield flush()
 
     return run
@@ -184,6 +191,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     or has no letter is ``und`` with score 0, and so is every text if the model knows no
     language.  With one language all others are its; ties go to the first by name.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long"),
         _padded().alias("text"),

@@ -8,6 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from dispatchlens.plans.shared import fresh_path
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let no batch that goes to Python hold more than ``rows`` documents.
+
+    A session option; a smaller value stays.  Texts of some kilobytes in batches of ten
+    thousand would take a large part of a small executor, several times over.
+    """
+    now = int(spark.conf.get(_BATCH_ROWS, "10000"))
+    if not 0 < now <= rows:
+        spark.conf.set(_BATCH_ROWS, str(rows))
+
+
 class Scratch:
     """Writes tables to the shared folder and deletes those no longer needed.
 
@@ -16,6 +30,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        bound_batches(spark)
         self.spark = spark
         self.name = name
         self.paths: dict[int, str] = {}

@@ -21,10 +21,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from . import context_coder, words
-from .scratch import batches_of
+from .scratch import batches_of, bound_batches
 from .tokens import PieceEncoder
 
-SEGMENT_IDS = 1024 * context_coder.BLOCK  # a segment ends with the document that passes this
+SEGMENT_IDS = 512 * context_coder.BLOCK  # a segment ends with the document that passes this
 
 SEGMENTS = T.StructType(
     [
@@ -91,6 +91,7 @@ def segments(
     Null and empty texts hold the end id alone.  Documents without id come first; rows
     that repeat an id follow each other in the order of their texts.
     """
+    bound_batches(docs.sparkSession)
     chosen = docs.select(
         F.col("doc_id").cast("long"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),

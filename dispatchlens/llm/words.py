@@ -68,7 +68,7 @@ class Words(NamedTuple):
         return np.searchsorted(self.text, np.arange(texts + 1))
 
 
-def chunks(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """The texts of a string column, about ``limit`` bytes at a time.
 
     Yields first row, row after the last, the bytes, and the offsets in them.  A
