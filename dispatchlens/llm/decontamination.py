@@ -6,11 +6,13 @@
    share of the product with a random matrix, the sums meet by term, and the driver
    factors a matrix of ``TERMS`` by ``RANK``, whatever the size of the corpus.
 3. Every overlapping window of every document is compared, in the latent space, with the
-   benchmark's windows.  Candidates by cosine go on to the words themselves.
+   benchmark's windows, which cover every item from its first word to its last.
+   Candidates by cosine go on to the words themselves.
 4. A candidate counts where the longest common subsequence of words covers enough of the
    item, or less of it but also its answer.
 
-The benchmark goes to the tasks in blocks of at most ``ITEMS`` items, a pass each.
+The benchmark goes to the tasks in blocks of at most ``ITEMS`` items, or of about
+``VECTORS`` windows, a pass each.
 """
 
 from __future__ import annotations
@@ -28,12 +30,15 @@ from .scratch import Scratch, batches_of
 
 TERM_BITS = 14
 TERMS = 1 << TERM_BITS
-RANK = 40
+RANK = 48
 CELL = 6  # words; windows start with every cell
 CELLS = 4
 WINDOW = CELL * CELLS
+STEP = CELL // 2  # words between an item's windows
 ITEMS = 1000
+VECTORS = 1 << 14
 _TOKENS_AT_ONCE = 1 << 18
+_COSINES_AT_ONCE = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -245,15 +250,21 @@ def common_subsequence(places: dict[int, int], size: int, other: list[int]) -> i
     return size - row.bit_count()
 
 
+def window_starts(size: int) -> list[int]:
+    """First words of the windows of an item: every few words, and the last one."""
+    last = max(0, size - WINDOW)
+    return sorted({*range(0, last, STEP), last})
+
+
 def _search(latent: Latent, items: list[Item], settings: Settings):
     vectors, owners = [], []
     for k, item in enumerate(items):
-        last = max(0, len(item.terms) - WINDOW)
-        for first in sorted({min(o, last) for o in range(0, CELL, 3)}):
+        for first in window_starts(len(item.terms)):
             vectors.append(latent.project(item.terms[first : first + WINDOW]))
             owners.append(k)
     queries = np.array(vectors, dtype=np.float32).T.copy()
     owners = np.array(owners)
+    rows_at_once = max(1, min(4096, _COSINES_AT_ONCE // len(owners)))
     projection = _with_filler(latent.projection)
     member = np.zeros((len(items), TERMS), dtype=bool)
     for k, item in enumerate(items):
@@ -299,8 +310,8 @@ def _search(latent: Latent, items: list[Item], settings: Settings):
             text_last = text_first + lengths
             ends = np.minimum(starts + WINDOW, text_last[text[used]])
             best: dict[tuple[int, int], tuple] = {}
-            for low in range(0, len(used), 4096):
-                near = window[low : low + 4096] @ queries
+            for low in range(0, len(used), rows_at_once):
+                near = window[low : low + rows_at_once] @ queries
                 at, query = np.nonzero(near >= least)
                 if not len(at):
                     continue
@@ -368,7 +379,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings | Non
         F.lower(F.col("text").cast("string")).alias("text"),
         F.lower(answer).alias("answer"),
     )
-    found, block = [], []
+    found, block, windows = [], [], 0
 
     def searched():
         return terms.mapInArrow(_search(latent, block, settings), _FOUND)
@@ -377,9 +388,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings | Non
         item = _item(row, settings)
         if item is not None:
             block.append(item)
-        if len(block) == ITEMS:
+            windows += len(window_starts(len(item.terms)))
+        if len(block) == ITEMS or windows >= VECTORS:
             found.append(scratch.keep(searched()))
-            block = []
+            block, windows = [], 0
     if block or not found:
         found.append(searched() if block else spark.createDataFrame([], _FOUND))
     out = found[0]

@@ -196,6 +196,20 @@ def test_benchmark_passages_are_found(spark):
     assert decontamination.contaminated(docs.limit(0), benchmark).count() == 0
 
 
+def test_later_part_of_an_item_is_found(spark):
+    item = [f"i{k}" for k in range(120)]
+    swapped = [w if k >= 30 or k % 3 else f"other{k}" for k, w in enumerate(item)]
+    filler = " ".join(f"word{k % 97} other{k % 31}" for k in range(400))
+    rows = [
+        (1, " ".join([filler, *item[28:], filler]), "en", "a"), (2, " ".join(item[60:]), "en", "a"),
+        (3, " ".join([filler, *swapped]), "en", "a"), (4, " ".join(item[:92]), "en", "a"), (5, filler, "en", "a"),
+    ]
+    benchmark = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    found = decontamination.contaminated(table(spark, rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 7), (3, 7), (4, 7)}
+    assert decontamination.window_starts(10) == [0] and decontamination.window_starts(31) == [0, 3, 6, 7]
+
+
 def test_common_subsequence():
     places = decontamination._places(np.array([1, 2, 3, 2, 5]))
     assert decontamination.common_subsequence(places, 5, [2, 9, 3, 2, 1, 5]) == 4
