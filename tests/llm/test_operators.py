@@ -250,6 +250,25 @@ def test_chains_rise_in_both():
     assert chains[0] == [0, 1, 2, 3] and sorted(map(tuple, chains[1:])) == [(4,), (5,)]
 
 
+def test_chains_begin_anew_after_a_long_passage():
+    settings = fuzzy_passages.Settings()
+    steps = np.concatenate([np.arange(0, 200, 5), np.arange(300, 400, 5)])
+    chains = fuzzy_passages.chains(steps, steps + 1000, settings)
+    assert sorted(map(len, chains)) == [20, 40]
+    moved = steps + np.where(steps < 300, 1000, 0)
+    assert sorted(map(len, fuzzy_passages.chains(steps, moved, settings))) == [20, 40]
+
+
+def test_two_passages_of_one_pair(spark):
+    one, two = [f"p{k}" for k in range(200)], [f"q{k}" for k in range(90)]
+    own = lambda n: [f"d{n}w{k}" for k in range(100)]
+    rows = [(1, " ".join(one + own(1) + two), "en", "a"), (2, " ".join(one + own(2) + two), "en", "a")]
+    found = fuzzy_passages.shared_passages(table(spark, rows)).collect()
+    assert sorted((r.first_word, r.last_word, r.other_first, r.other_last) for r in found) == [
+        (0, 200, 0, 200), (300, 390, 300, 390)
+    ]
+
+
 def deleted_lines(rows):
     first, out = {}, {}
     ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
