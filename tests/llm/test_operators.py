@@ -269,6 +269,28 @@ def test_two_passages_of_one_pair(spark):
     ]
 
 
+def test_passage_of_two_middle_documents(spark):
+    passage = [f"p{k}" for k in range(60)]
+    own = lambda n: [f"d{n}w{k}" for k in range(60)]
+    parts = lambda n: sum((passage[k : k + 40] + own(10 * n + k) for k in range(0, 25, 5)), [])
+    rows = [(n, " ".join(parts(n)), "en", "a") for n in (1, 9)]
+    rows += [(n, " ".join(own(n) + passage), "en", "a") for n in (5, 6)]
+    (row,) = fuzzy_passages.shared_passages(table(spark, rows)).collect()
+    assert (row.doc_id, row.first_word, row.last_word, row.other_id) == (6, 60, 120, 5)
+
+
+def test_every_copy_of_a_passage_in_a_document(spark):
+    passage = [f"p{k}" for k in range(80)]
+    own = lambda n: [f"d{n}w{k}" for k in range(60)]
+    twice = passage + own(1) + passage
+    for texts in ([passage, twice], [twice, passage], [passage, twice, passage]):
+        rows = [(n, " ".join(own(9 + n) + text), "en", "a") for n, text in enumerate(texts)]
+        found = fuzzy_passages.shared_passages(table(spark, rows)).collect()
+        n = texts.index(twice)
+        got = {r.first_word for r in found if r.doc_id == n} | {r.other_first for r in found if r.other_id == n}
+        assert got == {60, 200}
+
+
 def deleted_lines(rows):
     first, out = {}, {}
     ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
