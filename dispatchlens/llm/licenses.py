@@ -62,7 +62,14 @@ def _sentences(text: Column) -> Column:
     word = r"(?i)\b(?:" + "|".join(WORDS.split()) + r")\b"
     parts = F.split(text, r"[\n!?;|]|\.(?=\s|$)")
     numbered = F.transform(parts, lambda s, i: F.struct(i.alias("place"), s.alias("sentence")))
+    # The first and the last that is not blank, where a notice stands.
+    said = F.filter(numbered, lambda s: s["sentence"].rlike(r"\S"))
+    edges = F.array(F.element_at(said, 1)["place"], F.element_at(said, -1)["place"])
     found = F.filter(numbered, lambda s: s["sentence"].rlike(word))
+    found = F.transform(
+        found,
+        lambda s: F.struct(s["place"], s["sentence"], F.array_contains(edges, s["place"]).alias("edge")),
+    )
     return F.when(text.rlike(word), found)
 
 
@@ -79,7 +86,8 @@ def _templates(spark) -> DataFrame:
 
 
 def statements(texts: DataFrame) -> DataFrame:
-    """``row, place, license, cosine``: every sentence that states a licence.
+    """``row, place, edge, license, cosine``: every sentence that states a licence; ``edge``
+    where a text begins or ends with it.
 
     ``texts`` has ``row``, which names it, and ``sentences``.  Of templates with the same
     cosine the first licence by name counts.
@@ -87,7 +95,7 @@ def statements(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     scratch = Scratch(spark, "licenses")
     found = texts.select("row", F.explode("sentences").alias("s"))
-    found = found.select("row", F.col("s.place").alias("place"), _tokens(F.col("s.sentence")).alias("tokens"))
+    found = found.select("row", "s.place", "s.edge", _tokens(F.col("s.sentence")).alias("tokens"))
     found = scratch.keep(found.withColumn("key", F.md5(F.array_join("tokens", " "))))
     distinct = found.groupBy("key").agg(F.count("*").alias("n"), F.first("tokens").alias("tokens"))
     terms = scratch.keep(
@@ -122,7 +130,7 @@ def statements(texts: DataFrame) -> DataFrame:
         .agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("b"))
         .select("key", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"))
     )
-    return found.join(best, "key").select("row", "place", "license", "cosine")
+    return found.join(best, "key").select("row", "place", "edge", "license", "cosine")
 
 
 def _directory(path: Column) -> Column:
@@ -141,9 +149,10 @@ def _above(directory: Column) -> Column:
 def scan(files: DataFrame) -> DataFrame:
     """A row per row of ``files``: ``doc_id, path, license, cosine, origin, origin_path``.
 
-    ``files`` needs ``doc_id``, ``path`` (parts divided by ``/``), ``text`` and
+    ``files`` needs ``doc_id``, ``path`` (parts divided by ``/``) and ``text``, and may have
     ``license_file``, a boolean that tells whether a statement of the file holds for its
-    directory; other columns are not looked at.  ``origin`` is ``own`` where the file
+    directory; without it that is so where the text begins or ends with a statement.
+    Other columns are not looked at.  ``origin`` is ``own`` where the file
     states its licence (the statement with the greatest cosine, then the first),
     ``inherited`` where the nearest directory above with a licence file does, and null
     where none does.  Of several licence files of a directory the one first by path
@@ -151,24 +160,30 @@ def scan(files: DataFrame) -> DataFrame:
     Repeated rows are treated alike.
     """
     scratch = Scratch(files.sparkSession, "license_scan")
+    given = "license_file" in files.columns
     rows = files.select(
         # Written at once, so that every reader sees the same numbers.
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long"),
         F.col("path").cast("string"),
-        F.coalesce(F.col("license_file"), F.lit(False)).alias("license_file"),
+        F.coalesce(F.col("license_file") if given else F.lit(None), F.lit(False)).alias("license_file"),
         _sentences(F.col("text").cast("string")).alias("sentences"),
     )
     rows = scratch.keep(rows)
     stated = statements(rows.select("row", "sentences"))
     own = scratch.keep(
         stated.groupBy("row")
-        .agg(F.min(F.struct((-F.col("cosine")).alias("c"), "place", "license")).alias("b"))
-        .select("row", F.col("b.license").alias("own"), (-F.col("b.c")).alias("cosine"))
+        .agg(
+            F.min(F.struct((-F.col("cosine")).alias("c"), "place", "license")).alias("b"),
+            F.max("edge").alias("edge"),
+        )
+        .select("row", "edge", F.col("b.license").alias("own"), (-F.col("b.c")).alias("cosine"))
     )
     named = rows.drop("sentences").join(own, "row", "left").withColumn("directory", _directory(F.col("path")))
-    named = scratch.keep(named)
-    given = (
+    if not given:
+        named = named.withColumn("license_file", F.coalesce("edge", F.lit(False)))
+    named = scratch.keep(named.drop("edge"))
+    holding = (
         named.where("license_file and own is not null and directory is not null")
         .groupBy("directory")
         .agg(F.min(F.struct("path", "own")).alias("b"))
@@ -178,7 +193,7 @@ def scan(files: DataFrame) -> DataFrame:
     nearest = (
         wanting.select("directory", F.explode(_above(F.col("directory"))).alias("a"))
         .select("directory", "a.depth", "a.place")
-        .join(given, "place")
+        .join(holding, "place")
         .groupBy("directory")
         .agg(F.max(F.struct("depth", "place", "given")).alias("b"))
         .select("directory", F.col("b.place").alias("from"), F.col("b.given").alias("given"))

@@ -57,14 +57,16 @@ def _line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files in a tree of source, language and thousands of ids.
 
-    The first thousand ids lie at the top of their source; a statement in one of them
-    holds, as in a licence file, for the whole source.
+    Of a hundred ids one lies at the top of its source and nine at that of their language,
+    whatever the size of the table.  A document that begins or ends with a statement
+    speaks for its directory, as a licence file does.
     """
     docs = _documents(spark, sf_dir)
-    below = F.concat_ws("/", "lang", F.expr("cast(doc_id div 1000 as string)"))
-    at_top = F.col("doc_id") < 1000
-    path = F.concat_ws("/", "source", F.when(~at_top, below), F.col("doc_id").cast("string"))
-    return licenses.scan(docs.select("doc_id", path.alias("path"), "text", at_top.alias("license_file")))
+    turn = F.pmod("doc_id", F.lit(100))
+    language = F.when(turn > 0, F.coalesce("lang", F.lit("und")))
+    thousand = F.when(turn > 9, F.expr("cast(doc_id div 1000 as string)"))
+    path = F.concat_ws("/", "source", language, thousand, F.col("doc_id").cast("string"))
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
 
 
 def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -404,6 +404,28 @@ def test_licenses(spark):
     assert licenses.scan(files.limit(0)).count() == 0
 
 
+def test_license_files_by_content(spark):
+    mit, cc, apache = "Released under the MIT License.", "Licensed under CC BY 4.0.", "Licensed under the Apache License, Version 2.0."
+    rows = [
+        (5001, "s/5001", f"Some text.\n{mit}\n"), (5002, "s/en/5002", f"\n{cc} And more."),
+        (5003, "s/en/5/5003", f"A text. {apache} It goes on."), (5004, "s/en/5/5004", "nothing"),
+        (5005, "s/de/5/5005", "nothing"), (5006, "t/5006", "nothing"), (5007, "t/5007", None),
+    ]
+    files = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.origin, r.origin_path) for r in licenses.scan(files).collect()}
+    assert got == {
+        5001: ("MIT", "own", "s/5001"), 5002: ("CC-BY-4.0", "own", "s/en/5002"),
+        5003: ("Apache-2.0", "own", "s/en/5/5003"), 5004: ("CC-BY-4.0", "inherited", "s/en"),
+        5005: ("MIT", "inherited", "s"), 5006: (None, None, None), 5007: (None, None, None),
+    }
+
+
+def test_licenses_are_inherited_at_every_level(spark):
+    found = queries.queries()["op8_licenses"](spark, "/root/testdata/sf0.1").where("origin = 'inherited'")
+    depths = {r.n for r in found.select(F.size(F.split("origin_path", "/")).alias("n")).distinct().collect()}
+    assert depths == {1, 2, 3}
+
+
 def test_native_operators_run_no_python(spark):
     for name in ("op7_pii", "op8_licenses", "op9_mixing"):
         plan = queries.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
