@@ -457,6 +457,14 @@ def test_neighbours_against_brute_force(spark):
     assert hits >= 0.95 * wanted
 
 
+def test_hubs_keep_their_own_neighbours_and_the_best_reverse_ones(spark):
+    own = [(0, k, 100.0 - k) for k in range(1, 25)]
+    reverse = [(k, 0, float(k) / 100) for k in range(100, 1100)]
+    edges = spark.createDataFrame(own + reverse, "node long, other long, score float")
+    kept = {r.other for r in nearest.search_graph(edges, nearest.Settings()).where("node = 0").collect()}
+    assert kept == {*range(1, 25), *range(1028, 1100)}
+
+
 def test_token_output(spark, texts):
     from tokenizers import Tokenizer
 
