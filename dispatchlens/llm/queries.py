@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 
 from dispatchlens.plans.shared import fresh_path
 
-from . import decontamination, fuzzy_passages, language_id, licenses, line_runs, mixing, near_dedup, nearest, pii, token_output
+from . import (
+    decontamination,
+    fill_in_middle,
+    fuzzy_passages,
+    language_id,
+    licenses,
+    line_runs,
+    mixing,
+    near_dedup,
+    nearest,
+    pii,
+    secret_scan,
+    token_output,
+    whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +95,20 @@ def _token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read(spark, path)
 
 
+def _fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digest(fill_in_middle.transform(_documents(spark, sf_dir)))
+
+
+def _whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return secret_scan.digest(secret_scan.find(docs, secret_scan.default_vocabulary()))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": _decontamination,
@@ -93,6 +121,9 @@ def queries() -> dict[str, Query]:
         "op8_licenses": _licenses,
         "op9_mixing": _mixing,
         "op10_token_output": _token_output,
+        "op11_fill_in_middle": _fill_in_middle,
+        "op12_whitening": _whitening,
+        "op13_secrets": _secrets,
     }
 
 
@@ -131,5 +162,36 @@ FROM placed
 """
 
 
+_FILL_IN_MIDDLE_SQL = """
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || CAST(doc_id AS VARCHAR)) AS h,
+         regexp_extract_all(coalesce(text, ''),
+                            '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS u
+  FROM documents
+), drawn AS (
+  SELECT *, len(u) AS n,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS one,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS two,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM units
+), parts AS (
+  SELECT *, array_to_string(u[1:least(one, two)], '') AS prefix,
+         array_to_string(u[least(one, two) + 1:greatest(one, two)], '') AS middle,
+         array_to_string(u[greatest(one, two) + 1:], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CAST(CASE WHEN form <> 'plain' THEN length(prefix) END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN length(middle) END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_mixing": _MIXING_SQL}
+    return {"op9_mixing": _MIXING_SQL, "op11_fill_in_middle": _FILL_IN_MIDDLE_SQL}
