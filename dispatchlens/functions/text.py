@@ -43,16 +43,24 @@ def parse_integer(column: Column) -> Column:
     return F.coalesce(column.try_cast(T.LongType()), from_decimal)
 
 
+_ISO = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+_TIMED = rf"^{_ISO}[ T][0-9]{{1,2}}:[0-9]{{1,2}}(?::[0-9]{{1,2}}(?:\.[0-9]{{1,9}})?)?$"
+_HOUR = rf"^{_ISO}[ T][0-9]{{1,2}}$"
+
+
 def parse_timestamp(column: Column) -> Column:
     """Timestamp without zone in ``column``, or null when it is not one.
 
-    A cast would also take a bare year or month, which is shorter than a date, and
-    drop a zone after the time, which changes the instant meant.
+    Read are ISO dates, alone or followed by a space or ``T`` and an hour, minutes, seconds
+    and a fraction, which is cut after microseconds.  A cast alone would also take a bare
+    year or month, which is shorter than a date, and drop a zone after the time, which
+    changes the instant meant.
     """
-    zoned = column.rlike(r"[0-9:.]\s*(?:[+-][0-9]{1,2}(?::?[0-9]{2}){0,2}|[A-Za-z][A-Za-z0-9/_+:-]*)$")
-    timed = F.length(column) > len("yyyy-MM-dd")
-    dated = F.when((F.length(column) >= len("yyyy-MM-dd")) & ~(timed & zoned), column)
-    return dated.try_cast(T.TimestampNTZType())
+    dated = (F.length(column) == len("yyyy-MM-dd")) & column.rlike(rf"^{_ISO}$")
+    text = F.when(dated | column.rlike(_TIMED), column).when(
+        column.rlike(_HOUR), F.concat(column, F.lit(":00"))
+    )
+    return text.try_cast(T.TimestampNTZType())
 
 
 def is_invalid(raw: Column, parsed: Column) -> Column:

@@ -244,8 +244,14 @@ def _with_typing_defects(customers: DataFrame) -> DataFrame:
 
 
 def with_entry_errors(text: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Text tables in which some numbers and dates cannot be parsed."""
+    """Text tables in which some numbers and dates cannot be parsed.
+
+    Carrier dates are written with ``T``, which can be read, and those of the first of a
+    month with a zone, too, which cannot.
+    """
     items, payments = text["order_items"], text["payments"]
+    carrier = F.replace(F.col("order_delivered_carrier_date"), F.lit(" "), F.lit("T"))
+    zoned = F.when(carrier.contains("-01T"), F.concat(carrier, F.lit("Z"))).otherwise(carrier)
     return {
         **text,
         "order_items": items.withColumn(
@@ -258,10 +264,12 @@ def with_entry_errors(text: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
                 F.col("payment_installments")
             ),
         ),
-        "orders": text["orders"].withColumn(
-            "order_approved_at",
-            F.when(F.col("order_status") == "canceled", "never").otherwise(
-                F.col("order_approved_at")
-            ),
+        "orders": text["orders"].withColumns(
+            {
+                "order_approved_at": F.when(F.col("order_status") == "canceled", "never").otherwise(
+                    F.col("order_approved_at")
+                ),
+                "order_delivered_carrier_date": zoned,
+            }
         ),
     }

@@ -194,6 +194,7 @@ _ENTRY_ERRORS = {
     ("order_items", "freight_value"): "freight_c = 0",
     ("payments", "payment_installments"): "kind = 'not_defined'",
     ("orders", "order_approved_at"): "status = 'canceled'",
+    ("orders", "order_delivered_carrier_date"): "day(carrier) = 1",
 }
 
 

@@ -249,7 +249,7 @@ def test_bootstrap_lists_what_is_wrong_before_it_writes(spark, database):
         store.bootstrap(spark, Analysis(raw, SETTINGS, star_schema.MANUAL_TRANSLATIONS), database)
     assert "unmapped category: products" in str(failed.value)
     assert all(spark.table(f"{database}.{name}").isEmpty() for name in CLEAN_TABLES)
-    text = star_schema.as_text(raw)
+    text = dict(star_schema.as_text(raw))
     text["orders"] = text["orders"].withColumn("order_approved_at", F.lit("never"))
     with pytest.raises(sinks.LoadError, match="unreadable: orders.order_approved_at"):
         gate.require_clean(Analysis(text, SETTINGS, star_schema.MANUAL_TRANSLATIONS))

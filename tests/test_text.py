@@ -48,6 +48,28 @@ def test_numbers_and_timestamps(spark):
     ]
 
 
+def test_iso_timestamps_are_read_and_zones_are_not(spark):
+    read = {
+        "2017-01-02T10:00:00": datetime(2017, 1, 2, 10),
+        "2017-01-02T10:00": datetime(2017, 1, 2, 10),
+        "2017-01-02T10": datetime(2017, 1, 2, 10),
+        "2017-01-02 10": datetime(2017, 1, 2, 10),
+        "2017-01-02T10:11:12.5": datetime(2017, 1, 2, 10, 11, 12, 500_000),
+        "2017-01-02 10:11:12.123456789": datetime(2017, 1, 2, 10, 11, 12, 123_456),
+        "2017-01-02 23:59": datetime(2017, 1, 2, 23, 59),
+        "2016-02-29T00:00:00.000": datetime(2016, 2, 29),
+    }
+    refused = [
+        "2017-01-02T10:00:00Z", "2017-01-02T10:00:00+01:00", "2017-01-02T10:00-03", "2017-01-02 10:00:00 UTC",
+        "2017-01-02T10:00:00 Europe/Berlin", "2017-01-02T", "2017-01-02TT10:00", "2017-01-02T24:00", "2017-01-02T10:60",
+        "2017-02-29T10:00", "2017-01T10:00", "T10:00:00", "2017-01-02X10:00", "2017-01-02T10:00:00.", "2017-01", "never",
+    ]
+    frame = spark.createDataFrame([(v,) for v in [*read, *refused]], "v string")
+    got = {r.v: r.t for r in frame.select("v", tx.parse_timestamp(F.col("v")).alias("t")).collect()}
+    assert {v: got[v] for v in read} == read
+    assert {v for v in refused if got[v] is not None} == set()
+
+
 def test_month_strings(spark):
     texts = ["2018-02", "2018-8", "2018-13", "18-08", "August-2018", "2018-00", "0000-01", ""]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
