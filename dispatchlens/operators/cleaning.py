@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from dispatchlens.functions import text as tx
 from dispatchlens.functions.measures import days_between, month_of, never_null
-from dispatchlens.operators.keyed import HOT_KEY_ROWS, join_lookup, left_join_per_key
 from dispatchlens.schemas import DAYS, MONEY, ORDER_TIMESTAMPS, PRODUCT_MEASUREMENTS
 from dispatchlens.settings import Settings
 
@@ -171,7 +170,9 @@ def clean_products(
     """Typed products with positive measurements and a translated category.
 
     ``category_translation_source`` tells where the translation comes from; it
-    is null for a category that neither source translates.
+    is null for a category that neither source translates.  How the lookup is joined is
+    left to Spark, which knows its size once it is grouped, and splits a category that
+    most products share.
     """
     manual = MANUAL_TRANSLATIONS if manual is None else manual
     products = typed(
@@ -195,7 +196,7 @@ def clean_products(
         .when(F.col("official").isNotNull(), "official")
         .when(by_hand.isNotNull(), "manual")
     )
-    translated = join_lookup(products, category_lookup(translation), "product_category_name")
+    translated = products.join(category_lookup(translation), "product_category_name", "left")
     return translated.select(
         "product_id",
         "product_category_name",
@@ -240,14 +241,34 @@ def clean_payments(raw: DataFrame) -> DataFrame:
     )
 
 
+def by_number_word(payments: DataFrame, *sums: Column) -> DataFrame:
+    """Payments per order and word of 64 payment numbers: rows, range and a bit per number.
+
+    Words are combined before they move, so an order with very many payments sends few
+    rows, and merge into counts of distinct numbers without a second look at the records.
+    """
+    number = F.col("payment_sequential").cast("long")
+    bit = F.expr("shiftleft(1L, cast(payment_sequential & 63 as int))")
+    return payments.groupBy("order_id", F.shiftright(number, 6).alias("_word")).agg(
+        F.count("*").alias("_rows"),
+        F.min(number).alias("_least"),
+        F.max(number).alias("_most"),
+        F.bit_or(bit).alias("_bits"),
+        *sums,
+    )
+
+
+def distinct_numbers() -> Column:
+    return F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0))
+
+
 def payment_sequences(payments: DataFrame) -> DataFrame:
     """Per order: range of the payment numbers and what is missing in it."""
-    number = F.col("payment_sequential")
-    per_order = payments.groupBy("order_id").agg(
-        F.count("*").alias("payment_rows"),
-        F.min(number).cast("long").alias("minimum_sequence"),
-        F.max(number).cast("long").alias("maximum_sequence"),
-        F.count_distinct(number).alias("observed_sequences"),
+    per_order = by_number_word(payments).groupBy("order_id").agg(
+        F.sum("_rows").alias("payment_rows"),
+        F.min("_least").alias("minimum_sequence"),
+        F.max("_most").alias("maximum_sequence"),
+        distinct_numbers().alias("observed_sequences"),
     )
     span = F.col("maximum_sequence") - F.col("minimum_sequence") + 1
     return per_order.withColumn("expected_sequences", span).withColumns(
@@ -260,12 +281,17 @@ def payment_sequences(payments: DataFrame) -> DataFrame:
     )
 
 
-def payment_flags(payments: DataFrame, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Cleaned payments, each record carrying its order's sequence flags."""
-    flags = ["payment_sequence_start_missing", "payment_sequence_internal_gap"]
-    sequences = payment_sequences(payments).select("order_id", "payment_rows", *flags)
-    flagged = left_join_per_key(payments, sequences, "order_id", "payment_rows", hot_key_rows)
-    return flagged.withColumns({f: never_null(F.col(f)) for f in flags})
+def payment_flags(payments: DataFrame) -> DataFrame:
+    """Cleaned payments, each record carrying its order's sequence flags.
+
+    Only orders with a flag take part in the join; where they are few, Spark broadcasts
+    them at run time, and else it splits the records of an order that has very many.
+    """
+    start, gap = "payment_sequence_start_missing", "payment_sequence_internal_gap"
+    flagged = payment_sequences(payments).select("order_id", start, gap)
+    flagged = flagged.filter(F.col("order_id").isNotNull() & (F.col(start) | F.col(gap)))
+    joined = payments.join(flagged, "order_id", "left").select(*payments.columns, start, gap)
+    return joined.withColumns({f: never_null(F.col(f)) for f in (start, gap)})
 
 
 def in_window(timestamp: Column, settings: Settings) -> Column:

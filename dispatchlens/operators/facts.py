@@ -13,19 +13,37 @@ from dispatchlens.functions.measures import (
     percent,
     rounded,
 )
-from dispatchlens.operators.cleaning import in_window
+from dispatchlens.operators.cleaning import by_number_word, distinct_numbers, in_window
 from dispatchlens.schemas import ORDER_TIMESTAMPS, SCORE
 from dispatchlens.settings import Settings
 
 
 def item_summary(items: DataFrame) -> DataFrame:
-    return items.groupBy("order_id").agg(
-        F.count("*").alias("item_count"),
-        F.count_distinct("product_id").alias("product_count"),
-        F.count_distinct("seller_id").alias("seller_count"),
-        F.sum("price").alias("merchandise_value"),
-        F.sum("freight_value").alias("freight_value"),
-        F.sum("item_total").alias("item_total_value"),
+    """Items per order.
+
+    Products and sellers are counted from the items grouped by order and product and by
+    order and seller, each combined before it moves, instead of copying every item once
+    per distinct count; the amounts travel with the products.
+    """
+    amounts = {"merchandise_value": "price", "freight_value": "freight_value", "item_total_value": "item_total"}
+    totals = [F.sum(column).alias(name) for name, column in amounts.items()]
+    wanted = items.groupBy().agg(*totals).schema
+    products = items.groupBy("order_id", "product_id").agg(F.count("*").alias("item_count"), *totals)
+    sellers = items.select("order_id", "seller_id").distinct()
+    zero, none = F.lit(0).cast("long"), F.lit(None)
+    both = products.select(
+        "order_id", "item_count", F.col("product_id").isNotNull().cast("long").alias("product_count"),
+        zero.alias("seller_count"), *amounts,
+    ).unionByName(
+        sellers.select(
+            "order_id", zero.alias("item_count"), zero.alias("product_count"),
+            F.col("seller_id").isNotNull().cast("long").alias("seller_count"),
+            *[none.cast(wanted[name].dataType).alias(name) for name in amounts],
+        )
+    )
+    return both.groupBy("order_id").agg(
+        *[F.sum(c).alias(c) for c in ("item_count", "product_count", "seller_count")],
+        *[F.sum(name).cast(wanted[name].dataType).alias(name) for name in amounts],
     )
 
 
@@ -35,14 +53,20 @@ def payment_summary(payments: DataFrame) -> DataFrame:
     The sequence flags are properties of the whole order, so they come from the
     same aggregation; the records need no flags of their own first.
     """
-    number = F.col("payment_sequential").cast("long")
-    summary = payments.groupBy("order_id").agg(
-        F.count("*").alias("payment_record_count"),
-        F.sum("payment_value").alias("recorded_payment_value"),
-        F.bool_or("is_invalid_installment").alias("has_invalid_installment"),
-        F.bool_or("is_zero_value_payment").alias("has_zero_value_payment"),
-        (F.min(number) > 1).alias("has_payment_sequence_start_missing"),
-        (F.count_distinct(number) != F.max(number) - F.min(number) + 1).alias(
+    words = by_number_word(
+        payments,
+        F.sum("payment_value").alias("_value"),
+        F.bool_or("is_invalid_installment").alias("_invalid"),
+        F.bool_or("is_zero_value_payment").alias("_zero"),
+    )
+    value = words.schema["_value"].dataType
+    summary = words.groupBy("order_id").agg(
+        F.sum("_rows").alias("payment_record_count"),
+        F.sum("_value").cast(value).alias("recorded_payment_value"),
+        F.bool_or("_invalid").alias("has_invalid_installment"),
+        F.bool_or("_zero").alias("has_zero_value_payment"),
+        (F.min("_least") > 1).alias("has_payment_sequence_start_missing"),
+        (distinct_numbers() != F.max("_most") - F.min("_least") + 1).alias(
             "has_payment_sequence_internal_gap"
         ),
     )

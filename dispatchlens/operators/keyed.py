@@ -1,16 +1,10 @@
-"""Joins that stay balanced when a few keys hold most of the rows."""
+"""Joins to small tables of proven size."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one key beyond which the key is spread over many tasks.
-HOT_KEY_ROWS = 1_000_000
-
-# Rows up to which a counted lookup is broadcast.
-LOOKUP_BROADCAST_ROWS = 100_000
-
 
 def broadcast_months(frame: DataFrame, rows_bound: int, limit: int = 12_000) -> DataFrame:
     """Broadcast a table that provably has at most ``rows_bound`` rows.
@@ -19,57 +13,3 @@ def broadcast_months(frame: DataFrame, rows_bound: int, limit: int = 12_000) ->
     thousand years of months) the frame stays unhinted and Spark chooses.
     """
     return F.broadcast(frame) if rows_bound <= limit else frame
-
-
-def join_lookup(
-    rows: DataFrame, lookup: DataFrame, key: str, broadcast_rows: int = LOOKUP_BROADCAST_ROWS
-) -> DataFrame:
-    """Left join ``rows`` to a lookup with one row per key.
-
-    The lookup is counted first (up to the limit, never further).  Within the
-    limit it is broadcast and ``rows`` stay where they are; beyond it, the rows
-    of each key are counted and joined with hot keys spread.
-    """
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return rows.join(F.broadcast(lookup), key, "left")
-    sizes = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    return left_join_per_key(rows, sizes.join(lookup, key), key, "_rows")
-
-
-def left_join_per_key(
-    rows: DataFrame,
-    per_key: DataFrame,
-    key: str,
-    key_rows: str,
-    hot_key_rows: int = HOT_KEY_ROWS,
-) -> DataFrame:
-    """Left join ``rows`` (many per key) to ``per_key`` (one row per key).
-
-    ``per_key[key_rows]`` is the number of ``rows`` of that key.  Keys with more
-    than ``hot_key_rows`` rows are at most ``total rows / hot_key_rows`` in
-    number, so their entries are broadcast and their rows stay where they are;
-    rows of all other keys go through an ordinary shuffled join, in which no key
-    has more than ``hot_key_rows`` rows.  The result is the plain left join.
-
-    Where there are no hot keys, adaptive execution drops their branch.
-    """
-    values = [c for c in per_key.columns if c not in (key, key_rows)]
-    is_hot = F.col(key_rows) > hot_key_rows
-    hot = F.broadcast(per_key.filter(is_hot).select(key, *values))
-    cold = per_key.filter(~is_hot).select(key, *values)
-
-    hot_rows = rows.join(hot, key)
-    cold_rows = (
-        rows.filter(F.col(key).isNotNull())
-        .join(hot.select(key), key, "left_anti")
-        .join(cold, key, "left")
-    )
-    nothing = {c: F.lit(None).cast(per_key.schema[c].dataType) for c in values}
-    keyless_rows = rows.filter(F.col(key).isNull()).withColumns(nothing)
-
-    columns = [*rows.columns, *values]
-    return (
-        hot_rows.select(columns)
-        .unionByName(cold_rows.select(columns))
-        .unionByName(keyless_rows.select(columns))
-    )

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import random
 from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from dispatchlens.operators import cleaning, constraints, keyed
+from dispatchlens.operators import cleaning, constraints, facts
 from dispatchlens.settings import Settings
 from tests.helpers import by, order, stamp, text_table
 
@@ -145,14 +146,6 @@ def test_products(spark):
     assert [r[0] for r in cleaning.untranslated_categories(products).collect()] == ["novo"]
 
 
-def test_lookup_beyond_the_broadcast_limit_gives_the_same(spark):
-    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
-    lookup = spark.createDataFrame([("a", "x"), ("c", "y")], "k string, name string")
-    for limit in (10, 1):
-        got = keyed.join_lookup(rows, lookup, "k", broadcast_rows=limit).collect()
-        assert sorted((r.v, r.name) for r in got) == [(1, "x"), (2, "x"), (3, None), (4, None)]
-
-
 def test_a_category_translated_twice_fails(spark):
     twice = [{"product_category_name": "x", "product_category_name_english": e} for e in "ab"]
     lookup = text_table(spark, "category_translation", twice)
@@ -172,8 +165,7 @@ def payments_of(spark, *records):
     return cleaning.clean_payments(text_table(spark, "payments", rows))
 
 
-@pytest.mark.parametrize("hot_key_rows", [1_000_000, 1])
-def test_payment_flags(spark, hot_key_rows):
+def test_payment_flags(spark):
     payments = payments_of(
         spark,
         ("late start", 2, 0, "1.00"), ("late start", 3, 1, "0.00"),
@@ -181,7 +173,7 @@ def test_payment_flags(spark, hot_key_rows):
         ("fine", 1, 1, "1.00"),
         ("repeated", 1, 1, "1.00"), ("repeated", 1, 1, "1.00"), ("repeated", 2, 1, "1.00"),
     )
-    flagged = cleaning.payment_flags(payments, hot_key_rows).collect()
+    flagged = cleaning.payment_flags(payments).collect()
     assert len(flagged) == 8
     got = {(r.order_id, r.payment_sequence_start_missing, r.payment_sequence_internal_gap) for r in flagged}
     assert got == {
@@ -192,37 +184,29 @@ def test_payment_flags(spark, hot_key_rows):
     assert odd["late start", 2] == (True, False) and odd["late start", 3] == (False, True)
 
 
-def test_hot_keys_join_like_any_other_key_without_moving(spark):
-    rows = spark.range(0, 30_000, numPartitions=4).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot"))
-        .when(F.col("id") % 1000 == 1, F.lit(None))
-        .otherwise(F.concat(F.lit("k"), F.col("id") % 2000))
-        .alias("key"),
-        F.col("id").alias("row"),
-    )
-    per_key = (
-        rows.filter("key IS NOT NULL AND key <> 'k7'")
-        .groupBy("key")
-        .agg(F.count("*").alias("n"), F.max("row").alias("last"))
-    )
-    plain = rows.join(per_key.drop("n"), "key", "left").select("key", "row", "last")
-    # Without size-based broadcasts only the entries of hot keys are broadcast.
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = keyed.left_join_per_key(rows, per_key, "key", "n", hot_key_rows=100)
-        got = joined.withColumn("task", F.spark_partition_id()).collect()
-        by_task: dict[int, int] = {}
-        for row in got:
-            by_task[row.task] = by_task.get(row.task, 0) + (row.key == "hot")
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    assert sorted(str((r.key, r.row, r.last)) for r in got) == sorted(
-        str(tuple(r)) for r in plain.collect()
-    )
-    # A third of all rows share a key, and still stay in their four partitions.
-    assert sorted(n for n in by_task.values() if n) == [2500] * 4
+def test_payment_numbers_in_several_words(spark):
+    rng = random.Random(3)
+    orders = {
+        "long": list(range(1, 200)), "long gap": [*range(1, 64), *range(66, 130)], "edge": [63, 64, 65], "far": [1, 32000],
+        "hot": [n % 150 + 1 for n in range(5000)], "below": [-65, -64, -63, 0, 1], "one": [128],
+    }
+    orders |= {f"r{k}": [rng.randint(1, 140) for _ in range(rng.randint(1, 200))] for k in range(20)}
+    payments = payments_of(spark, *[(o, n, 1, "1.00") for o, numbers in orders.items() for n in numbers])
+    payments = payments.union(payments.limit(1).withColumn("order_id", F.lit(None).cast("string")))
+    payments = payments.union(payments.limit(1).withColumn("payment_sequential", F.lit(None).cast("short")))
+    got = by(cleaning.payment_sequences(payments), "order_id")
+    summary = by(facts.payment_summary(payments), "order_id")
+    for name, numbers in orders.items():
+        row, extra = got[name], name == "long"
+        seen, span = set(numbers), max(numbers) - min(numbers) + 1
+        assert (row.payment_rows, row.observed_sequences) == (len(numbers) + extra, len(seen))
+        assert (row.minimum_sequence, row.maximum_sequence, row.expected_sequences) == (min(seen), max(seen), span)
+        assert row.payment_sequence_start_missing == (min(seen) > 1) == summary[name].has_payment_sequence_start_missing
+        assert row.payment_sequence_internal_gap == (len(seen) != span) == summary[name].has_payment_sequence_internal_gap
+        assert summary[name].payment_record_count == len(numbers) + extra
+    flagged = cleaning.payment_flags(payments).collect()
+    assert len(flagged) == payments.count()
+    assert {r.payment_sequence_internal_gap for r in flagged if r.order_id is None} == {False}
 
 
 def test_constraints_on_clean_and_broken_rows(spark):

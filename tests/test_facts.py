@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import date
 from decimal import Decimal
 
@@ -34,6 +35,27 @@ def reviews_of(spark, *records):
     return cleaning.clean_reviews(text_table(spark, "reviews", rows))
 
 
+def test_items_of_a_hot_order_and_of_none(spark):
+    rng, rows = random.Random(5), []
+    for n in range(1500):
+        name = "hot" if n % 3 == 0 else f"o{rng.randint(1, 300)}"
+        rows.append((name, f"p{rng.randint(1, 9)}", f"s{rng.randint(1, 40)}", f"{rng.randint(1, 999)}.25"))
+    rows += [("bare", None, None, "2.00"), ("half", "p1", None, None), (None, "p1", "s1", "1.00")]
+    items = items_of(spark, *rows)
+    got = by(facts.item_summary(items), "order_id")
+    assert set(got) == {r[0] for r in rows}
+    for name, row in got.items():
+        mine = [r for r in rows if r[0] == name]
+        assert row.item_count == len(mine)
+        assert row.product_count == len({r[1] for r in mine} - {None})
+        assert row.seller_count == len({r[2] for r in mine} - {None})
+        prices = [Decimal(r[3]) for r in mine if r[3]]
+        assert row.merchandise_value == (sum(prices) if prices else None)
+        assert row.freight_value == len(mine)
+    plan = facts.item_summary(items)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("partial_sum") >= 3
+
+
 def test_order_facts_count_every_child_once(spark):
     orders = text_table(
         spark, "orders", [order("a", customer_id="c1"), order("b", customer_id="c1")]
