@@ -1,7 +1,7 @@
 """The integrity rules of the cleaned tables, as data.
 
-A rule holds on a row when its condition is true or unknown.  All row rules of a
-table are counted in one scan; key and reference rules are counted by grouping.
+A rule holds on a row when its condition is true or unknown.  ``audit`` counts the row,
+key and reference rules of all tables together.
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dispatchlens.operators.audit import Reference, audit, quarantined
 from dispatchlens.operators.cleaning import in_window
-from dispatchlens.operators.quality import fk_orphans, key_violations, rules_failing, union_all
-from dispatchlens.schemas import CLEAN_TABLES, KEYS
+from dispatchlens.operators.quality import union_all
+from dispatchlens.schemas import CLEAN_TABLES, FOREIGN_KEYS, KEYS
 from dispatchlens.settings import Settings
 
 # The admissible codes.
@@ -30,14 +31,17 @@ SCORE_RANGE = (1, 5)
 
 @dataclass(frozen=True)
 class Lengths:
-    """Characters of an identifier and of a state code."""
+    """Characters of an identifier and of a state code; None allows any."""
 
-    identifier: int = 32
-    state: int = 2
+    identifier: int | None = 32
+    state: int | None = 2
 
 
-def _has_length(column: str, length: int) -> Column:
-    return F.length(F.col(column).cast("string")) == length
+def _has_length(column: str, length: int | None, trimmed: bool = False) -> Column:
+    if length is None:
+        return F.lit(True)
+    text = F.col(column).cast("string")
+    return F.length(F.trim(text) if trimmed else text) == length
 
 
 def _both_or_neither(flag: Column, columns: list[str]) -> Column:
@@ -52,7 +56,7 @@ def _both_or_neither(flag: Column, columns: list[str]) -> Column:
 def _place_rules(prefix: str, ids: list[str], lengths: Lengths) -> dict[str, Column]:
     rules = {f"{c} length": _has_length(c, lengths.identifier) for c in ids}
     rules["zip code range"] = F.col(f"{prefix}_zip_code_prefix").between(*ZIP_RANGE)
-    rules["state length"] = F.length(F.trim(F.col(f"{prefix}_state"))) == lengths.state
+    rules["state length"] = _has_length(f"{prefix}_state", lengths.state, trimmed=True)
     return rules
 
 
@@ -173,29 +177,38 @@ def row_rules(settings: Settings, lengths: Lengths = Lengths()) -> dict[str, dic
     }
 
 
+def broken_rules(settings: Settings, lengths: Lengths = Lengths()) -> dict[str, dict[str, Column]]:
+    """Per table, the condition under which a row breaks each rule."""
+    return {
+        table: {name: ~kept(rule) for name, rule in rules.items()}
+        for table, rules in row_rules(settings, lengths).items()
+    }
+
+
+REFERENCES = [Reference(*relation) for relation in FOREIGN_KEYS]
+
+
 def constraint_report(
     tables: Mapping[str, DataFrame], settings: Settings, lengths: Lengths = Lengths()
 ) -> DataFrame:
-    """Failures of every rule: rows for row and key rules, keys for references."""
-    by_row = [
-        rules_failing(
-            table, tables[table], {name: ~kept(rule) for name, rule in rules.items()}
-        ).withColumn("kind", F.lit("row"))
-        for table, rules in row_rules(settings, lengths).items()
-    ]
-    keys = key_violations({t: tables[t] for t in CLEAN_TABLES}, KEYS).select(
-        "table_name",
-        F.concat(F.lit("unique key "), F.col("key_columns")).alias("rule"),
-        F.col("duplicate_key_rows").alias("failing"),
-        F.lit("key").alias("kind"),
-    )
-    references = fk_orphans(tables).select(
-        F.substring_index("relationship", ".", 1).alias("table_name"),
-        F.col("relationship").alias("rule"),
-        F.col("orphan_keys").alias("failing"),
-        F.lit("reference").alias("kind"),
+    """Failures of every rule: rows for row and key rules, keys for references.
+
+    Each table is read once.
+    """
+    keys = {table: KEYS[table] for table in CLEAN_TABLES}
+    found = audit(tables, broken_rules(settings, lengths), keys, REFERENCES)
+    rule = F.when(F.col("kind") == "key", F.concat(F.lit("unique key "), "rule")).otherwise(F.col("rule"))
+    return found.filter(F.col("kind") != "missing").select("table_name", rule.alias("rule"), "failing", "kind")
+
+
+def quarantined_rows(
+    tables: Mapping[str, DataFrame], settings: Settings, lengths: Lengths = Lengths()
+) -> DataFrame:
+    """All rows that break a row rule, with their key and the names of the rules."""
+    return union_all(
+        quarantined(tables[table], table, failing, KEYS[table])
+        for table, failing in broken_rules(settings, lengths).items()
     )
-    return union_all([*by_row, keys, references])
 
 
 def kept(condition: Column) -> Column:

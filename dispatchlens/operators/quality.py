@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from dispatchlens.functions import text as tx
 from dispatchlens.functions.measures import count_where, never_null
+from dispatchlens.operators.audit import Reference, audit
 from dispatchlens.operators.cleaning import in_window, normalize_strings
 from dispatchlens.schemas import FOREIGN_KEYS, KEYS, PRODUCT_MEASUREMENTS, RAW_COLUMNS
 from dispatchlens.settings import Settings
@@ -254,35 +255,27 @@ def rules_failing(table: str, frame: DataFrame, failing: dict[str, Column]) -> D
     return counts.select(F.lit(table).alias("table_name"), _rows("rule", "failing", rules))
 
 
+def demanded_rules() -> dict[str, dict[str, Column]]:
+    """Per table, when a row breaks a rule that cleaning demands."""
+    return {
+        "order_items": {
+            "price is positive": F.col("price") <= 0,
+            "freight is not negative": F.col("freight_value") < 0,
+        },
+        "payments": {
+            "sequence starts at one": F.col("payment_sequential") < 1,
+            "value is not negative": F.col("payment_value") < 0,
+        },
+        "reviews": {"score lies between one and five": ~F.col("review_score").between(1, 5)},
+    }
+
+
 def rule_violations(
     items: DataFrame, payments: DataFrame, reviews: DataFrame
 ) -> DataFrame:
     """The row rules that cleaning demands."""
-    return union_all(
-        [
-            rules_failing(
-                "order_items",
-                items,
-                {
-                    "price is positive": F.col("price") <= 0,
-                    "freight is not negative": F.col("freight_value") < 0,
-                },
-            ),
-            rules_failing(
-                "payments",
-                payments,
-                {
-                    "sequence starts at one": F.col("payment_sequential") < 1,
-                    "value is not negative": F.col("payment_value") < 0,
-                },
-            ),
-            rules_failing(
-                "reviews",
-                reviews,
-                {"score lies between one and five": ~F.col("review_score").between(1, 5)},
-            ),
-        ]
-    )
+    frames = {"order_items": items, "payments": payments, "reviews": reviews}
+    return union_all(rules_failing(t, frames[t], rules) for t, rules in demanded_rules().items())
 
 
 def _distinct_key(frame: DataFrame, column: str) -> DataFrame:
@@ -600,46 +593,38 @@ def dq_report(
     known_manual: Iterable[str],
     expected_non_positive: dict[str, int] = EXPECTED_NON_POSITIVE,
 ) -> DataFrame:
-    """All findings of the inspection, and a last row with the verdict."""
+    """All findings of the inspection, and a last row with the verdict.
 
-    def rows(frame: DataFrame, check: Column, subject: Column, failing: Column) -> DataFrame:
-        return frame.select(
-            check.alias("check_name"), subject.alias("subject"), failing.cast("long").alias("failing")
-        )
-
-    keys = key_violations(raw)
-    table = F.col("table_name")
-    measured = measurement_profile(raw["products"], expected_non_positive)
-    uncovered = category_coverage(
-        raw["products"], raw["category_translation"], known_manual
-    ).agg(count_where(F.col("finding") == "unexpected").alias("n"))
-    off = F.abs(F.col("non_positive") - F.col("expected_non_positive"))
-    findings = union_all(
-        [
-            rows(keys, F.lit("key is present"), table, F.col("missing_key_rows")),
-            rows(keys, F.lit("key is unique"), table, F.col("duplicate_key_rows")),
-            rows(
-                fk_orphans(raw),
-                F.lit("parent exists"),
-                F.col("relationship"),
-                F.col("orphan_keys"),
-            ),
-            rows(
-                rule_violations(items, payments, reviews), F.col("rule"), table, F.col("failing")
-            ),
-            rows(
-                measured.filter(F.col("expected_non_positive").isNotNull()),
-                F.lit("non-positive measurements are as known"),
-                F.col("column_name"),
-                off,
-            ),
-            rows(
-                uncovered,
-                F.lit("categories are translated"),
-                F.lit("products"),
-                F.col("n"),
-            ),
-        ]
+    Each table is read once: items, payments and reviews as typed, the others as they are,
+    normalised.
+    """
+    category = "product_category_name"
+    tables = {name: normalize_strings(frame) for name, frame in raw.items()}
+    tables |= {"order_items": items, "payments": payments, "reviews": reviews}
+    measured = {c: F.col(c) <= 0 for c in expected_non_positive}
+    translated = Reference("products", category, "category_translation", category, tuple(known_manual))
+    found = audit(
+        tables,
+        demanded_rules() | {"products": measured},
+        {name: KEYS[name] for name in raw},
+        [*(Reference(*relation) for relation in FOREIGN_KEYS), translated],
+    )
+    kind, rule, table = F.col("kind"), F.col("rule"), F.col("table_name")
+    is_measure = (kind == "row") & (table == "products")
+    is_category = rule == translated.name
+    expected = F.lit(0).cast("long")
+    for name, count in expected_non_positive.items():
+        expected = F.when(rule == name, F.lit(count).cast("long")).otherwise(expected)
+    findings = found.select(
+        F.when(is_measure, "non-positive measurements are as known")
+        .when(kind == "row", rule)
+        .when(kind == "missing", "key is present")
+        .when(kind == "key", "key is unique")
+        .when(is_category, "categories are translated")
+        .otherwise("parent exists")
+        .alias("check_name"),
+        F.when(is_measure | ((kind == "reference") & ~is_category), rule).otherwise(table).alias("subject"),
+        F.when(is_measure, F.abs(F.col("failing") - expected)).otherwise(F.col("failing")).alias("failing"),
     )
     # The verdict is the grand total, from the same pass over the findings.
     check, subject = F.col("check_name"), F.col("subject")

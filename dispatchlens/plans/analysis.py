@@ -33,7 +33,7 @@ class Analysis:
     ) -> None:
         self.raw = raw
         self.settings = settings
-        self._manual = manual_translations
+        self.manual = manual_translations
 
     # Cleaned tables
 
@@ -48,7 +48,7 @@ class Analysis:
     @cached_property
     def products(self) -> DataFrame:
         return cleaning.clean_products(
-            self.raw["products"], self.raw["category_translation"], self._manual
+            self.raw["products"], self.raw["category_translation"], self.manual
         )
 
     @cached_property

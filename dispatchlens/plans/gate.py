@@ -5,17 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dispatchlens.operators import cleaning, quality
+from dispatchlens.operators import cleaning, constraints, quality
+from dispatchlens.operators.audit import Reference, audit
+from dispatchlens.operators.constraints import Lengths
 from dispatchlens.plans.analysis import Analysis
+from dispatchlens.schemas import KEYS
 from dispatchlens.sources.sinks import LoadError
 
 
-def _findings(frame: DataFrame, check: str, subject, rows) -> DataFrame:
-    return frame.select(
-        F.lit(check).alias("check"), subject.alias("subject"), rows.cast("long").alias("rows")
-    ).filter(F.col("rows") > 0)
-
-
 def unreadable(analysis: Analysis) -> DataFrame:
     """Columns with values that are no number or no timestamp, whoever uses them."""
     text = {
@@ -23,40 +20,57 @@ def unreadable(analysis: Analysis) -> DataFrame:
         for name, frame in analysis.raw.items()
         if name in quality.NUMERIC_COLUMNS or name in quality.TIMESTAMP_COLUMNS
     }
-    invalid = quality.invalid_values(text)
+    invalid = quality.invalid_values(text).filter("invalid > 0")
     subject = F.concat_ws(".", "table_name", "column_name")
-    return _findings(invalid, "unreadable", subject, F.col("invalid"))
+    return invalid.select(
+        F.lit("unreadable").alias("check"), subject.alias("subject"), F.col("invalid").alias("rows")
+    )
 
 
-def defects(analysis: Analysis) -> DataFrame:
-    """Broken keys, references and row rules, and unmapped categories, as counts."""
-    keys = quality.key_violations({n: f for n, f in analysis.raw.items() if n in quality.KEYS})
-    rules = quality.rule_violations(
-        analysis.order_items, analysis.payment_records, analysis.reviews
+def defects(analysis: Analysis, lengths: Lengths = Lengths()) -> DataFrame:
+    """Broken keys, references and row rules, and unmapped categories, as counts.
+
+    The rules are those of the cleaned tables, all of them; each table is read once.
+    """
+    category = "product_category_name"
+    manual = cleaning.MANUAL_TRANSLATIONS if analysis.manual is None else analysis.manual
+    mapped = Reference("products", category, "category_translation", category, tuple(manual))
+    tables = analysis.clean_tables()
+    tables["category_translation"] = cleaning.normalize_strings(analysis.raw["category_translation"])
+    found = audit(
+        tables, constraints.broken_rules(analysis.settings, lengths), KEYS, [*constraints.REFERENCES, mapped]
     )
-    unmapped = cleaning.untranslated_categories(analysis.products).agg(F.count("*").alias("n"))
-    named = F.concat_ws(" ", "table_name", "key_columns")
-    return (
-        _findings(keys, "missing key", named, F.col("missing_key_rows"))
-        .union(_findings(keys, "repeated key", named, F.col("duplicate_key_rows")))
-        .union(
-            _findings(
-                quality.fk_orphans(analysis.raw), "orphan", F.col("relationship"), F.col("orphan_keys")
-            )
-        )
-        .union(
-            _findings(rules, "rule", F.concat_ws(": ", "table_name", "rule"), F.col("failing"))
-        )
-        .union(_findings(unmapped, "unmapped category", F.lit("products"), F.col("n")))
+    kind, rule, table = F.col("kind"), F.col("rule"), F.col("table_name")
+    unmapped = rule == mapped.name
+    check = (
+        F.when(kind == "missing", "missing key")
+        .when(kind == "key", "repeated key")
+        .when(kind == "row", "rule")
+        .when(unmapped, "unmapped category")
+        .otherwise("orphan")
     )
+    subject = (
+        F.when(kind == "row", F.concat_ws(": ", table, rule))
+        .when(unmapped, table)
+        .when(kind == "reference", rule)
+        .otherwise(F.concat_ws(" ", table, rule))
+    )
+    return found.filter("failing > 0").select(
+        check.alias("check"), subject.alias("subject"), F.col("failing").alias("rows")
+    )
+
+
+def quarantine(analysis: Analysis, lengths: Lengths = Lengths()) -> DataFrame:
+    """The rows of the cleaned tables that break a row rule, with the rules' names."""
+    return constraints.quarantined_rows(analysis.clean_tables(), analysis.settings, lengths)
 
 
-def require_clean(analysis: Analysis) -> None:
+def require_clean(analysis: Analysis, lengths: Lengths = Lengths()) -> None:
     """Raise with all findings if the raw tables are not fit to be loaded.
 
     Values come first: nothing else can be judged before they can be read.
     """
-    for found in (unreadable(analysis), defects(analysis)):
+    for found in (unreadable(analysis), defects(analysis, lengths)):
         rows = found.orderBy("check", "subject").collect()  # a row per column or rule
         if rows:
             listed = "; ".join(f"{r.check}: {r.subject} ({r.rows})" for r in rows)

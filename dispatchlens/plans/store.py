@@ -8,11 +8,14 @@ orders again.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispatchlens.functions.measures import month_of
 from dispatchlens.operators import investigation, quality
+from dispatchlens.operators.constraints import Lengths
 from dispatchlens.plans import gate, reports
 from dispatchlens.plans.analysis import Analysis
 from dispatchlens.schemas import CLEAN_TABLES
@@ -58,18 +61,25 @@ def existing_tables(spark: SparkSession, database: str) -> set[str]:
 
 
 def bootstrap(
-    spark: SparkSession, analysis: Analysis, database: str, resume: bool = False
+    spark: SparkSession,
+    analysis: Analysis,
+    database: str,
+    resume: bool = False,
+    lengths: Lengths = Lengths(),
 ) -> DataFrame:
     """Create, load and check the cleaned tables; returns the row-count report.
 
-    Nothing is written before the gate has passed the raw tables.  Running it again on a
-    loaded database changes nothing.  A database with some of its tables missing is an
+    No table is created before the gate has passed the raw tables.  Running it again on a
+    loaded database changes nothing.  Tables are filled one after the other; ``versions``
+    shows them all at once.  A database with some of its tables missing is an
     error, and so is one loaded in part, unless ``resume``: then the tables that are still
     empty are loaded, and a table with too few or too many rows remains an error.  At the
     end the views are created over the loaded tables and their rows compared, too.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    if not existing_tables(spark, database):
+    judged = not existing_tables(spark, database)
+    if judged:
+        gate.require_clean(analysis, lengths)
         for name, schema in CLEAN_TABLES.items():
             sinks.create_table(spark, f"{database}.{name}", schema)
     missing = set(CLEAN_TABLES) - existing_tables(spark, database)
@@ -84,7 +94,8 @@ def bootstrap(
 
     state = quality.load_state(counts()).first()["state"]
     if state == "empty" or (state == "partial" and resume):
-        gate.require_clean(analysis)
+        if not judged:
+            gate.require_clean(analysis, lengths)
         for name, frame in analysis.clean_tables().items():
             schema = CLEAN_TABLES[name]
             if spark.table(f"{database}.{name}").isEmpty():
@@ -99,10 +110,15 @@ def bootstrap(
 
 
 def loaded_analysis(spark: SparkSession, database: str, settings: Settings = Settings()) -> Analysis:
-    """The analysis over the loaded tables, which are clean already."""
+    """The analysis over the loaded tables."""
+    return with_clean_tables({name: spark.table(f"{database}.{name}") for name in CLEAN_TABLES}, settings)
+
+
+def with_clean_tables(tables: Mapping[str, DataFrame], settings: Settings) -> Analysis:
+    """An analysis over tables that are clean already."""
     analysis = Analysis({}, settings)
     for name in CLEAN_TABLES:
-        setattr(analysis, name, spark.table(f"{database}.{name}"))
+        setattr(analysis, name, tables[name])
     analysis.payment_records = analysis.payments
     month = month_of(F.col("order_purchase_timestamp"))
     analysis.timed_orders = analysis.orders.withColumn("purchase_month", month)

@@ -313,8 +313,8 @@ def _dq_report() -> str:
         CASE WHEN {_count("failing > 0")} = 0 THEN 'OK' ELSE 'FAIL' END FROM ({findings})"""
 
 
-def _constraints() -> str:
-    """Row rules as (table, source, rule, condition that must not be false)."""
+def _row_conditions() -> dict[str, tuple[str, dict[str, str]]]:
+    """Per table its source and, per row rule, the condition that must not be false."""
 
     def length(column: str, size: int = 3) -> str:
         return f"length(CAST({column} AS VARCHAR)) = {size}"
@@ -408,7 +408,7 @@ def _constraints() -> str:
             "item number from one": "order_item_id >= 1",
             "price positive": "price_c > 0",
             "freight not negative": "freight_c >= 0",
-            "total adds up": "TRUE",
+            "total adds up": "total_c = price_c + freight_c",
         },
         "payments": {
             "order_id length": length("order_id"),
@@ -416,8 +416,8 @@ def _constraints() -> str:
             "payment type code": "kind IN ('credit_card', 'boleto', 'voucher', 'debit_card', 'not_defined')",
             "installments not negative": "installments >= 0",
             "value not negative": "value_c >= 0",
-            "installment flag": "TRUE",
-            "zero value flag": "TRUE",
+            "installment flag": "unpaid = (installments <= 0)",
+            "zero value flag": "worthless = (value_c = 0)",
         },
         "reviews": {
             "review_id length": length("review_id"),
@@ -427,13 +427,40 @@ def _constraints() -> str:
     }
     sources = {
         "customers": "customers_t", "products": "products_c", "sellers": "sellers_t",
-        "orders": "facts_t", "order_items": "items_t", "payments": "payments_t",
+        "orders": "facts_t",
+        "order_items": "(SELECT *, CAST(round((price_c / 100.0 + freight_c / 100.0) * 100) AS BIGINT) "
+        "AS total_c FROM items_t)",
+        "payments": "(SELECT *, installments < 1 AS unpaid, NOT (value_c > 0 OR value_c < 0) AS worthless "
+        "FROM payments_t)",
         "reviews": "reviews_t",
     }
+    return {
+        table: (
+            source,
+            {f"{n} required": f"({e}) IS NOT NULL" for n, e in required[table].items()} | rules[table],
+        )
+        for table, source in sources.items()
+    }
+
+
+def _quarantined_rows() -> str:
+    parts = []
+    for table, (source, conditions) in _row_conditions().items():
+        key = ", ".join(_RAW[table][1][c] for c in _RAW[table][2])
+        named = ", ".join(
+            f"CASE WHEN NOT coalesce({condition}, TRUE) THEN '{rule}' END"
+            for rule, condition in conditions.items()
+        )
+        parts.append(
+            f"SELECT '{table}' AS table_name, concat_ws('|', {key}) AS row_key, "
+            f"concat_ws('; ', {named}) AS failed_rules FROM {source}"
+        )
+    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE failed_rules <> ''"
+
+
+def _constraints() -> str:
     parts = []
-    for table, source in sources.items():
-        conditions = {f"{n} required": f"({e}) IS NOT NULL" for n, e in required[table].items()}
-        conditions |= rules[table]
+    for table, (source, conditions) in _row_conditions().items():
         for rule, condition in conditions.items():
             parts.append(
                 f"SELECT '{table}' AS table_name, '{rule}' AS rule, "
@@ -755,6 +782,7 @@ def oracle_sql() -> dict[str, str]:
                 {", ".join(f"CAST(0 AS BIGINT) AS invalid_{c}" for c in _STAMPS["orders"])} FROM flags_t""",
         "dq_report": _dq_report(),
         "constraint_report": _constraints(),
+        "quarantined_rows": _quarantined_rows(),
         "item_summary": f"""
             SELECT order_id, item_count, product_count, seller_count,
                 CAST(price_c AS BIGINT) {_CENT} AS merchandise_value,

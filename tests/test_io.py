@@ -9,7 +9,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from dispatchlens.plans import gate, reports, shared, store
+from dispatchlens.operators.constraints import Lengths
+from dispatchlens.plans import gate, reports, shared, store, versions
 from dispatchlens.plans.analysis import Analysis
 from dispatchlens.plans.session import recommended_options
 from dispatchlens.schemas import CLEAN_TABLES, KEYS, RAW_COLUMNS
@@ -19,6 +20,7 @@ from __spark_entry__ import SETTINGS
 from tests.helpers import text_table
 
 SF = "/root/testdata/sf0.001"
+ANY = Lengths(None, None)
 
 
 def write(path: Path, rows: list[list[str]]) -> str:
@@ -148,9 +150,9 @@ def valid_analysis(spark):
 
 def test_bootstrap_loads_once(spark, database):
     analysis = valid_analysis(spark)
-    report = store.bootstrap(spark, analysis, database).collect()
+    report = store.bootstrap(spark, analysis, database, lengths=ANY).collect()
     assert len(report) == 7 + 3 and {r.status for r in report} == {"OK"}
-    again = store.bootstrap(spark, analysis, database).collect()
+    again = store.bootstrap(spark, analysis, database, lengths=ANY).collect()
     assert sorted(map(str, again)) == sorted(map(str, report))
     loaded = store.loaded_analysis(spark, database, SETTINGS)
     got = spark.table("monthly_kpis").orderBy("purchase_month").collect()
@@ -248,7 +250,8 @@ def test_bootstrap_lists_what_is_wrong_before_it_writes(spark, database):
     with pytest.raises(sinks.LoadError, match="repeated key: order_items") as failed:
         store.bootstrap(spark, Analysis(raw, SETTINGS, star_schema.MANUAL_TRANSLATIONS), database)
     assert "unmapped category: products" in str(failed.value)
-    assert all(spark.table(f"{database}.{name}").isEmpty() for name in CLEAN_TABLES)
+    assert "rule: orders: order_id length" in str(failed.value)
+    assert store.existing_tables(spark, database) == set()
     text = dict(star_schema.as_text(raw))
     text["orders"] = text["orders"].withColumn("order_approved_at", F.lit("never"))
     with pytest.raises(sinks.LoadError, match="unreadable: orders.order_approved_at"):
@@ -263,7 +266,7 @@ def test_bootstrap_takes_up_a_broken_load(spark, database):
         schema = CLEAN_TABLES[name]
         frame = analysis.clean_tables()[name].select(*schema.fieldNames())
         sinks.load_table(frame, f"{database}.{name}", schema)
-    report = store.bootstrap(spark, analysis, database, resume=True).collect()
+    report = store.bootstrap(spark, analysis, database, resume=True, lengths=ANY).collect()
     assert {r.status for r in report} == {"OK"}
 
 
@@ -281,3 +284,50 @@ def test_reports_replace_and_leave_nothing_when_empty(spark, tmp_path):
     assert spark.read.csv(path, header=True).count() == 2
     assert sinks.write_report(frame.limit(1), path, order, replace=True) == 1
     assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["report"]
+
+
+def test_versions_are_shown_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    root, analysis = str(tmp_path / "shop"), valid_analysis(spark)
+    with pytest.raises(sinks.LoadError, match="nothing is published"):
+        versions.published(spark, root)
+    with pytest.raises(sinks.LoadError, match="rule: customers: customer_id length"):
+        versions.publish(spark, analysis, root)
+    assert versions.versions(spark, root) == []
+    first = versions.publish(spark, analysis, root, ANY)
+    assert versions.publish(spark, analysis, root, ANY) == first == versions.current(spark, root)
+
+    # One seller more; the load breaks off after two tables.
+    changed = valid_analysis(spark)
+    more = changed.raw["sellers"].limit(1).withColumn("seller_id", F.lit(-1).cast("long"))
+    changed.raw["sellers"] = changed.raw["sellers"].unionByName(more)
+    conform, seen = sinks.conform, []
+
+    def broken(frame, schema, table):
+        seen.append(table)
+        if len(seen) > 2:
+            raise OSError("the cluster is gone")
+        return conform(frame, schema, table)
+
+    monkeypatch.setattr(sinks, "conform", broken)
+    with pytest.raises(OSError, match="gone"):
+        versions.publish(spark, changed, root, ANY)
+    monkeypatch.undo()
+    assert versions.current(spark, root) == first
+    old = versions.published(spark, root, SETTINGS)
+    assert old.sellers.count() == first.rows["sellers"]
+
+    second = versions.publish(spark, changed, root, ANY)
+    assert second.number == 2 and second.rows["sellers"] == first.rows["sellers"] + 1
+    assert versions.published(spark, root, SETTINGS).sellers.filter("seller_id = '-1'").count() == 1
+    # A reader that resolved the old version still reads it whole.
+    assert old.sellers.count() == first.rows["sellers"]
+    kpis = versions.published(spark, root, SETTINGS).monthly_kpis.orderBy("purchase_month")
+    assert kpis.collect() == analysis.monthly_kpis.orderBy("purchase_month").collect()
+
+    # A manifest that is still being written is not followed.
+    (Path(root) / "manifest-000000000003").write_text('{"folder": "ver')
+    assert versions.current(spark, root) == second
+    (Path(root) / "manifest-000000000003").unlink()
+    assert len(versions.drop_unseen(spark, root, keep=1)) == 2
+    assert versions.versions(spark, root) == [second]
+    assert versions.published(spark, root, SETTINGS).orders.count() == second.rows["orders"]
