@@ -47,6 +47,13 @@ def item_summary(items: DataFrame) -> DataFrame:
     )
 
 
+def payment_totals(payments: DataFrame) -> DataFrame:
+    """Payments per order without the flags, in one aggregation."""
+    return payments.groupBy("order_id").agg(
+        F.count("*").alias("payment_record_count"), F.sum("payment_value").alias("recorded_payment_value")
+    )
+
+
 def payment_summary(payments: DataFrame) -> DataFrame:
     """Payments per order.
 
@@ -101,10 +108,13 @@ def with_reviews(orders: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def order_measures(
-    orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame
+    orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame, flags: bool = True
 ) -> DataFrame:
     """Order timing joined to its three child summaries, all keyed by order.
 
+    Without ``flags`` the payments bring their number and value alone, which takes one
+    aggregation less.
+
     Each child is reduced to one row per order before the join, so nothing fans
     out, and all four inputs share one partitioning.  Consumers that leave the
     columns of a child unused do not pay for it: the optimizer drops an outer
@@ -112,13 +122,11 @@ def order_measures(
     """
     zero, no = F.lit(0).cast("long"), F.lit(False)
     counts = ["item_count", "product_count", "seller_count", "payment_record_count"]
-    flags = [
-        "has_invalid_installment", "has_zero_value_payment",
-        "has_payment_sequence_start_missing", "has_payment_sequence_internal_gap",
-    ]
+    paid = payment_summary(payments) if flags else payment_totals(payments)
+    flagged = [c for c in paid.columns if c.startswith("has_")]
     joined = (
         orders.join(item_summary(items), "order_id", "left")
-        .join(payment_summary(payments), "order_id", "left")
+        .join(paid, "order_id", "left")
         .withColumns(
             {
                 "has_order_items": F.col("item_count").isNotNull(),
@@ -126,7 +134,7 @@ def order_measures(
             }
         )
         .withColumns({c: F.coalesce(F.col(c), zero) for c in counts})
-        .withColumns({c: F.coalesce(F.col(c), no) for c in flags})
+        .withColumns({c: F.coalesce(F.col(c), no) for c in flagged})
     )
     return with_reviews(joined, reviews)
 

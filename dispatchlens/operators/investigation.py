@@ -8,7 +8,9 @@ by the issue; investigating a single issue is a filter on the issue table.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from dispatchlens.functions.measures import (
     days_between,
     excess_late,
     expected_late,
-    mean,
+    per_count,
     percent,
     rounded,
 )
@@ -29,14 +31,6 @@ from dispatchlens.settings import Settings
 ISSUE_KEYS = ["issue_id", "previous_month", "current_month", "issue_change_pp", "issue_severity"]
 PERIODS = ("previous", "current")
 
-# What the five results read of an order, beside the issue's keys.
-INVESTIGATED_COLUMNS = [
-    "period_label", "purchase_month", "order_id", "is_delivery_kpi_eligible",
-    "is_handling_time_eligible", "is_late_delivery", "delivery_days", "late_delivery_days",
-    "promise_window_days", "approval_to_carrier_days", "carrier_to_customer_days",
-    "customer_state", "single_seller_id", "review_record_count", "average_review_score",
-]
-
 
 def issue_keys(comparisons: DataFrame) -> DataFrame:
     """The dimensions that every detail row of an issue carries."""
@@ -123,53 +117,141 @@ def with_single_seller(orders: DataFrame, items: DataFrame) -> DataFrame:
     return orders.join(seller, "order_id", "left")
 
 
-def issue_periods(orders: DataFrame) -> DataFrame:
-    """Delivery stages per issue and period; ``orders`` carry review scores."""
+# What a level of the drill-down groups by, beside issue and period.
+LEVELS: dict[str, str | None] = {"all": None, "state": "customer_state", "seller": "single_seller_id"}
+
+# Averaged measures: the column, and the orders it is averaged over.
+_AVERAGED = {
+    "delivery": ("delivery_days", "eligible"),
+    "lateness": ("late_delivery_days", "late"),
+    "promise": ("promise_window_days", "eligible"),
+    "handling": ("approval_to_carrier_days", "handled"),
+    "transport": ("carrier_to_customer_days", "all"),
+    "score": ("average_review_score", "reviewed"),
+    # Sellers are judged by their eligible orders alone.
+    "eligible_handling": ("approval_to_carrier_days", "eligible handled"),
+    "eligible_score": ("average_review_score", "eligible reviewed"),
+}
+
+
+def _measures(orders: DataFrame, levels: Iterable[str]) -> list[Column]:
+    """Counts and sums of a group of orders, which the results are made of.
+
+    A measure whose column the orders do not carry is left out, as no result of the
+    levels asked for shows it.
+    """
     eligible = F.col("is_delivery_kpi_eligible")
-    late = eligible & F.col("is_late_delivery")
-    handled = F.col("is_handling_time_eligible")
-    reviewed = F.col("review_record_count") > 0
-    transport = F.col("carrier_to_customer_days")
-    on_time = count_where(eligible & ~F.col("is_late_delivery"))
-    return orders.groupBy(*ISSUE_KEYS, "period_label").agg(
-        F.count("*").alias("all_orders"),
-        count_where(eligible).alias("delivery_eligible_orders"),
-        count_where(late).alias("late_orders"),
-        rounded(percent(on_time, count_where(eligible))).alias("on_time_delivery_rate_pct"),
-        rounded(mean(F.col("delivery_days"), eligible)).alias("average_delivery_days"),
-        rounded(mean(F.col("late_delivery_days"), late)).alias(
-            "average_late_days_among_late_orders"
-        ),
-        rounded(mean(F.col("promise_window_days"), eligible)).alias("average_promise_window_days"),
-        count_where(handled).alias("handling_eligible_orders"),
-        rounded(mean(F.col("approval_to_carrier_days"), handled)).alias("average_handling_days"),
-        F.count(transport).alias("carrier_transport_eligible_orders"),
-        rounded(mean(transport)).alias("average_carrier_to_customer_days"),
-        count_where(reviewed).alias("reviewed_orders"),
-        rounded(mean(F.col("average_review_score"), reviewed)).alias("average_order_review_score"),
-        F.min("purchase_month").alias("period_month"),
+    kept = {
+        "all": F.lit(True),
+        "eligible": eligible,
+        "late": eligible & F.col("is_late_delivery"),
+        "on_time": eligible & ~F.col("is_late_delivery"),
+        "handled": F.col("is_handling_time_eligible"),
+    }
+    if "average_review_score" in orders.columns:
+        kept["reviewed"] = F.col("review_record_count") > 0
+    if "single_seller_id" in orders.columns:
+        kept["single"] = eligible & F.col("single_seller_id").isNotNull()
+    columns = [count_where(condition).alias(f"{name}_orders") for name, condition in kept.items()]
+    for name, (column, where) in _AVERAGED.items():
+        if column in orders.columns and set(where.split()) <= set(kept):
+            condition = reduce(Column.__and__, [kept[w] for w in where.split()])
+            value = F.when(condition, F.col(column))
+            columns += [F.sum(value).alias(f"{name}_sum"), F.count(value).alias(f"{name}_count")]
+    return [*columns, F.min("purchase_month").alias("period_month")]
+
+
+def drill_down(orders: DataFrame, levels: Iterable[str]) -> DataFrame:
+    """Measures per issue, period and level: all orders, by customer state, by single seller.
+
+    One pass over the orders of the issues' months gives all levels; what leaves it has a
+    row per issue, period and member.  ``orders`` carry state and seller as the levels need
+    them, and review scores if a result shows them.
+    """
+    levels = list(levels)
+    keys = [*ISSUE_KEYS, "period_label"]
+    members = [m for m in (LEVELS[level] for level in levels) if m]
+    measures = _measures(orders, levels)
+    if len(levels) == 1:
+        grouped = orders.groupBy(*keys, *members).agg(*measures)
+        member = F.col(members[0]).cast("string") if members else F.lit(None).cast("string")
+        return grouped.select(
+            F.lit(levels[0]).alias("level"), *keys, member.alias("member"),
+            *[c for c in grouped.columns if c not in {*keys, *members}],
+        )
+    sets = [[F.col(c) for c in (*keys, LEVELS[level]) if c] for level in levels]
+    flags = {m: F.grouping(m).alias(f"_without_{m}") for m in members}
+    # A grouping column is null outside its level, so measures read a copy of the seller.
+    columns = [F.col(c) for c in (*keys, *members)]
+    grouped = orders.groupingSets(sets, *columns).agg(*measures, *flags.values())
+    level, member = F.lit("all"), F.lit(None).cast("string")
+    for name in levels:
+        if column := LEVELS[name]:
+            level = F.when(F.col(f"_without_{column}") == 0, name).otherwise(level)
+            member = F.when(F.col(f"_without_{column}") == 0, F.col(column).cast("string")).otherwise(member)
+    rest = [c for c in grouped.columns if c not in {*keys, *members} and not c.startswith("_without_")]
+    return grouped.select(level.alias("level"), *keys, member.alias("member"), *rest)
+
+
+def _of_level(measured: DataFrame, level: str) -> DataFrame:
+    """Rows of a level; orders that have no state or no single seller have no member."""
+    rows = measured.filter(F.col("level") == level)
+    return rows if LEVELS[level] is None else rows.filter(F.col("member").isNotNull())
+
+
+def _mean_of(measure: str, prefix: str = "") -> Column:
+    return per_count(F.col(f"{prefix}{measure}_sum"), F.col(f"{prefix}{measure}_count"))
+
+
+def periods_of(measured: DataFrame) -> DataFrame:
+    """Delivery stages per issue and period."""
+    return _of_level(measured, "all").select(
+        *ISSUE_KEYS,
+        "period_label",
+        "all_orders",
+        F.col("eligible_orders").alias("delivery_eligible_orders"),
+        "late_orders",
+        rounded(percent(F.col("on_time_orders"), F.col("eligible_orders"))).alias("on_time_delivery_rate_pct"),
+        rounded(_mean_of("delivery")).alias("average_delivery_days"),
+        rounded(_mean_of("lateness")).alias("average_late_days_among_late_orders"),
+        rounded(_mean_of("promise")).alias("average_promise_window_days"),
+        F.col("handled_orders").alias("handling_eligible_orders"),
+        rounded(_mean_of("handling")).alias("average_handling_days"),
+        F.col("transport_count").alias("carrier_transport_eligible_orders"),
+        rounded(_mean_of("transport")).alias("average_carrier_to_customer_days"),
+        "reviewed_orders",
+        rounded(_mean_of("score")).alias("average_order_review_score"),
+        "period_month",
     )
 
 
-def _in_period(period: str) -> Column:
-    return F.col("period_label") == period
+def issue_periods(orders: DataFrame) -> DataFrame:
+    """Delivery stages per issue and period; ``orders`` carry review scores."""
+    return periods_of(drill_down(orders, ["all"]))
 
 
-def _late_counts() -> list[Column]:
-    """Eligible and late orders of both periods, side by side."""
-    columns = []
-    for period in PERIODS:
-        eligible = F.col("is_delivery_kpi_eligible") & _in_period(period)
-        columns += [
-            count_where(eligible).alias(f"{period}_eligible_orders"),
-            count_where(eligible & F.col("is_late_delivery")).alias(f"{period}_late_orders"),
-        ]
-    return columns
+def _side_by_side(rows: DataFrame, *averaged: str) -> DataFrame:
+    """Both periods of a group in one row: eligible and late orders, sums and counts."""
+    columns, zero = [], F.lit(0).cast("long")
 
+    def of(period: str, column: str) -> Column:
+        return F.max(F.when(F.col("period_label") == period, F.col(column)))
 
-def issue_impact(orders: DataFrame) -> DataFrame:
+    for p in PERIODS:
+        columns += [F.coalesce(of(p, c), zero).alias(f"{p}_{c}") for c in ("eligible_orders", "late_orders")]
+        for name in averaged:
+            columns += [of(p, f"{name}_{part}").alias(f"{p}_{name}_{part}") for part in ("sum", "count")]
+    return rows.groupBy(*ISSUE_KEYS, "member").agg(*columns)
+
+
+def _change(measure: str) -> Column:
+    """Change of the unrounded mean from the previous to the current period."""
+    return _mean_of(measure, "current_") - _mean_of(measure, "previous_")
+
+
+def impact_of(measured: DataFrame) -> DataFrame:
     """Late orders beyond what the previous period's late rate would give."""
-    both = orders.groupBy(*ISSUE_KEYS).agg(*_late_counts())
+    both = _side_by_side(_of_level(measured, "all"))
     previous_late, previous_all = F.col("previous_late_orders"), F.col("previous_eligible_orders")
     current_late, current_all = F.col("current_late_orders"), F.col("current_eligible_orders")
     return both.select(
@@ -189,13 +271,9 @@ def issue_impact(orders: DataFrame) -> DataFrame:
     )
 
 
-def _mean_change(value: str, where: Column | None = None) -> Column:
-    """Change of the unrounded mean from the previous to the current period."""
-
-    def over(period: str) -> Column:
-        return mean(F.col(value), _in_period(period) if where is None else where & _in_period(period))
-
-    return over("current") - over("previous")
+def issue_impact(orders: DataFrame) -> DataFrame:
+    """Late orders beyond what the previous period's late rate would give."""
+    return impact_of(drill_down(orders, ["all"]))
 
 
 def _contributors(groups: DataFrame, group: list[str], changes: list[str], minimum: int) -> DataFrame:
@@ -242,19 +320,19 @@ def _top(contributors: DataFrame, group: str, settings: Settings) -> DataFrame:
     return ranked.filter(F.col("contributor_rank") <= settings.top_contributors)
 
 
-def issue_states(orders: DataFrame, settings: Settings) -> DataFrame:
-    """Customer states by their excess late orders; ``orders`` carry the state.
+def states_of(measured: DataFrame, settings: Settings) -> DataFrame:
+    """Customer states by their excess late orders.
 
     Orders without a state count in every other result and in no state.
     """
-    eligible = F.col("is_delivery_kpi_eligible")
-    states = orders.filter(F.col("customer_state").isNotNull()).groupBy(*ISSUE_KEYS, "customer_state").agg(
-        *_late_counts(),
-        _mean_change("delivery_days", eligible).alias("average_delivery_days_change"),
-        _mean_change("promise_window_days", eligible).alias("promise_window_days_change"),
+    states = _side_by_side(_of_level(measured, "state"), "delivery", "promise").withColumns(
+        {
+            "average_delivery_days_change": _change("delivery"),
+            "promise_window_days_change": _change("promise"),
+        }
     )
     ranked = _contributors(
-        states,
+        states.withColumnRenamed("member", "customer_state"),
         ["customer_state"],
         ["average_delivery_days_change", "promise_window_days_change"],
         settings.min_region_orders,
@@ -262,39 +340,45 @@ def issue_states(orders: DataFrame, settings: Settings) -> DataFrame:
     return _top(ranked, "customer_state", settings)
 
 
-def issue_seller_coverage(orders: DataFrame) -> DataFrame:
+def issue_states(orders: DataFrame, settings: Settings) -> DataFrame:
+    """Customer states by their excess late orders; ``orders`` carry the state."""
+    return states_of(drill_down(orders, ["state"]), settings)
+
+
+def coverage_of(measured: DataFrame) -> DataFrame:
     """How many eligible orders have a single seller, per issue and period."""
-    eligible = F.col("is_delivery_kpi_eligible")
-    single = eligible & F.col("single_seller_id").isNotNull()
-    return orders.groupBy(*ISSUE_KEYS, "period_label").agg(
-        count_where(eligible).alias("delivery_eligible_orders"),
-        count_where(single).alias("single_seller_eligible_orders"),
-        rounded(percent(count_where(single), count_where(eligible))).alias(
+    return _of_level(measured, "all").select(
+        *ISSUE_KEYS,
+        "period_label",
+        F.col("eligible_orders").alias("delivery_eligible_orders"),
+        F.col("single_orders").alias("single_seller_eligible_orders"),
+        rounded(percent(F.col("single_orders"), F.col("eligible_orders"))).alias(
             "single_seller_coverage_pct"
         ),
-        F.min("purchase_month").alias("period_month"),
+        "period_month",
     )
 
 
-def issue_sellers(orders: DataFrame, sellers: DataFrame, settings: Settings) -> DataFrame:
+def issue_seller_coverage(orders: DataFrame) -> DataFrame:
+    """How many eligible orders have a single seller; ``orders`` carry it."""
+    return coverage_of(drill_down(orders, ["all"]))
+
+
+def sellers_of(measured: DataFrame, sellers: DataFrame, settings: Settings) -> DataFrame:
     """Single sellers by their excess late orders.
 
-    ``orders`` carry the single seller and the review score.  Orders of several
-    sellers are not attributed to anyone.
+    Orders of several sellers are not attributed to anyone.  A seller without a record of
+    its own is not ranked, as nothing is known about it.
     """
-    handled = F.col("is_handling_time_eligible")
-    reviewed = F.col("review_record_count") > 0
     changes = {
-        "average_handling_days_change": _mean_change("approval_to_carrier_days", handled),
-        "average_delivery_days_change": _mean_change("delivery_days"),
-        "average_review_score_change": _mean_change("average_review_score", reviewed),
+        "average_handling_days_change": "eligible_handling",
+        "average_delivery_days_change": "delivery",
+        "average_review_score_change": "eligible_score",
     }
-    attributed = orders.filter("is_delivery_kpi_eligible AND single_seller_id IS NOT NULL")
-    groups = (
-        attributed.withColumnRenamed("single_seller_id", "seller_id")
-        .groupBy(*ISSUE_KEYS, "seller_id")
-        .agg(*_late_counts(), *[change.alias(name) for name, change in changes.items()])
-    )
+    groups = _side_by_side(_of_level(measured, "seller"), *changes.values())
+    groups = groups.withColumns({name: _change(measure) for name, measure in changes.items()})
+    seller = F.col("member").cast(sellers.schema["seller_id"].dataType)
+    groups = groups.withColumn("seller_id", seller).drop("member")
     ranked = _contributors(groups, ["seller_id"], list(changes), settings.min_seller_orders)
     located = ranked.join(sellers.select("seller_id", "seller_state"), "seller_id")
     columns = [*ISSUE_KEYS, "seller_id", "seller_state"]
@@ -302,6 +386,15 @@ def issue_sellers(orders: DataFrame, sellers: DataFrame, settings: Settings) ->
     return _top(located.select(*columns, *rest), "seller_id", settings)
 
 
+def issue_sellers(orders: DataFrame, sellers: DataFrame, settings: Settings) -> DataFrame:
+    """Single sellers by their excess late orders.
+
+    ``orders`` carry the single seller and the review score.
+    """
+    eligible = orders.filter("is_delivery_kpi_eligible AND single_seller_id IS NOT NULL")
+    return sellers_of(drill_down(eligible, ["seller"]), sellers, settings)
+
+
 # The leading column of each of the five investigation results.
 RESULT_LEADS = {
     "periods": "period_label",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import copy
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from datetime import date
 from functools import cached_property
 
@@ -98,8 +98,9 @@ class Analysis:
 
     @cached_property
     def order_measures(self) -> DataFrame:
+        """What the KPIs read of an order."""
         return facts.order_measures(
-            self.timed_orders, self.order_items, self.payment_records, self.reviews
+            self.timed_orders, self.order_items, self.payment_records, self.reviews, flags=False
         )
 
     @cached_property
@@ -174,43 +175,48 @@ class Analysis:
         frozen.delivery_comparisons = materialise(self.delivery_comparisons, "comparisons")
         return frozen
 
-    def investigate_shared(self, month: str | date | None = None) -> "Investigation":
-        """Like :meth:`investigate`, for consumers of all five results.
+    def investigate_shared(
+        self, month: str | date | None = None, levels: Iterable[str] = tuple(investigation.LEVELS)
+    ) -> "Investigation":
+        """Like :meth:`investigate`, for consumers of several results.
 
-        Detection and the enriched orders of the issues' months are written to
-        the shared folder first; the results then aggregate that one table.
+        Detection is written to the shared folder first, then the measures of ``levels``
+        (see ``investigation.drill_down``), for which the orders are read once.  The results
+        are made of those measures, a few rows per issue and member.
         """
-        frozen = self.detected()
+        frozen, levels = self.detected(), list(levels)
         issues = frozen.issue_keys(month)
-        enriched = investigation.with_state(
-            Investigation(frozen, issues).attributed_reviewed_orders, self.customers
-        ).select(*investigation.ISSUE_KEYS, *investigation.INVESTIGATED_COLUMNS)
-        return Investigation(frozen, issues, materialise(enriched, "investigation_orders"))
+        source = Investigation(frozen, issues)
+        orders = source.reviewed_orders
+        if "seller" in levels:
+            orders = source.attributed_reviewed_orders
+        if "state" in levels:
+            orders = investigation.with_state(orders, self.customers)
+        measured = investigation.drill_down(orders, levels)
+        return Investigation(frozen, issues, materialise(measured, "drill_down"))
 
 
 class Investigation:
     """The five results for a table of issues.
 
-    ``enriched`` are investigation orders that already carry state, single
-    seller and review score; without them each result looks up what it needs.
+    ``measured`` holds the measures of the levels that the results need; without them each
+    result looks up what it needs and aggregates the orders itself.
     """
 
     def __init__(
-        self, analysis: Analysis, issues: DataFrame, enriched: DataFrame | None = None
+        self, analysis: Analysis, issues: DataFrame, measured: DataFrame | None = None
     ) -> None:
         self.analysis = analysis
         self.issues = issues
-        self._enriched = enriched
+        self._measured = measured
 
     @cached_property
     def orders(self) -> DataFrame:
-        if self._enriched is not None:
-            return self._enriched
         a = self.analysis
         return investigation.investigation_orders(a.timed_orders, self.issues, a.settings)
 
     def _carry(self, column: str) -> bool:
-        """Stored or enriched orders bring looked-up columns along."""
+        """Stored orders bring looked-up columns along."""
         return column in self.orders.columns
 
     def _with_review_score(self, orders: DataFrame) -> DataFrame:
@@ -240,25 +246,35 @@ class Investigation:
 
     @cached_property
     def periods(self) -> DataFrame:
+        if self._measured is not None:
+            return investigation.periods_of(self._measured)
         return investigation.issue_periods(self.reviewed_orders)
 
     @cached_property
     def impact(self) -> DataFrame:
+        if self._measured is not None:
+            return investigation.impact_of(self._measured)
         return investigation.issue_impact(self.orders)
 
     @cached_property
     def states(self) -> DataFrame:
-        return investigation.issue_states(self.placed_orders, self.analysis.settings)
+        settings = self.analysis.settings
+        if self._measured is not None:
+            return investigation.states_of(self._measured, settings)
+        return investigation.issue_states(self.placed_orders, settings)
 
     @cached_property
     def coverage(self) -> DataFrame:
+        if self._measured is not None:
+            return investigation.coverage_of(self._measured)
         return investigation.issue_seller_coverage(self.attributed_orders)
 
     @cached_property
     def sellers(self) -> DataFrame:
-        return investigation.issue_sellers(
-            self.attributed_reviewed_orders, self.analysis.sellers, self.analysis.settings
-        )
+        sellers, settings = self.analysis.sellers, self.analysis.settings
+        if self._measured is not None:
+            return investigation.sellers_of(self._measured, sellers, settings)
+        return investigation.issue_sellers(self.attributed_reviewed_orders, sellers, settings)
 
     def results(self) -> dict[str, DataFrame]:
         return {

@@ -61,11 +61,10 @@ def issue_sellers_export(inv: Investigation) -> DataFrame:
 
 def exports(analysis: Analysis) -> dict[str, DataFrame]:
     """The four BI data sets."""
-    detected = analysis.detected()
-    inv = detected.investigate()
+    inv = analysis.investigate_shared(levels=["state", "seller"])
     return {
         "monthly_kpis": analysis.monthly_kpis,
-        "delivery_comparisons": detected.delivery_comparisons,
+        "delivery_comparisons": inv.analysis.delivery_comparisons,
         "delivery_issue_states": issue_states_export(inv),
         "delivery_issue_sellers": issue_sellers_export(inv),
     }

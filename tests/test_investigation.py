@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 from datetime import date
 from decimal import Decimal
 
@@ -125,6 +126,42 @@ def test_ranking_is_signed_and_deterministic(spark):
     assert sellers.count() == 15
 
 
+def test_all_levels_at_once_equal_each_alone(spark):
+    groups = [("previous", None, "a", 30, 3, 10), ("current", None, "a", 40, 9, 12), ("current", "AA", None, 70, 7, 5)]
+    groups += [(p, s, q, 60, n, n) for n, (p, s, q) in enumerate(itertools.product(("previous", "current"), "AB", "ab"))]
+    orders = orders_of(spark, groups)
+    odd = F.col("order_id").endswith("3")
+    orders = orders.withColumns(
+        {
+            "is_delivery_kpi_eligible": ~odd, "is_late_delivery": F.when(~odd, F.col("is_late_delivery")),
+            "is_handling_time_eligible": ~F.col("order_id").endswith("4"),
+            "review_record_count": F.when(F.col("order_id").endswith("5"), 0).otherwise(1).cast("long"),
+        }
+    ).cache()
+    settings, known = Settings(min_region_orders=1, min_seller_orders=1), sellers_of(spark, "a", "b")
+    measured = investigation.drill_down(orders, investigation.LEVELS)
+    plan = measured._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Expand") == 1
+    pairs = [
+        (investigation.periods_of(measured), investigation.issue_periods(orders)),
+        (investigation.impact_of(measured), investigation.issue_impact(orders)),
+        (investigation.coverage_of(measured), investigation.issue_seller_coverage(orders)),
+        (investigation.states_of(measured, settings), investigation.issue_states(orders, settings)),
+        (investigation.sellers_of(measured, known, settings), investigation.issue_sellers(orders, known, settings)),
+    ]
+    for fused, alone in pairs:
+        assert fused.schema == alone.schema or fused.columns == alone.columns
+        assert sorted(map(str, fused.collect())) == sorted(map(str, alone.collect()))
+    periods = by(pairs[0][0], "period_label")
+    assert periods["current"].all_orders == 350 and periods["previous"].all_orders == 270
+    # Groups without a state or a single seller count as a whole and under no name.
+    names = {(r.level, r.member) for r in measured.collect()}
+    assert {("all", None), ("state", "A"), ("state", None), ("seller", "b"), ("seller", None)} <= names
+    assert {r.customer_state for r in pairs[3][0].collect()} == {"A", "B"}
+    empty = investigation.drill_down(orders.limit(0), investigation.LEVELS)
+    assert investigation.periods_of(empty).count() == investigation.impact_of(empty).count() == 0
+
+
 def test_changes_round_once_from_unrounded_means(spark):
     # Means 1.004 and 2.0055 differ by 1.0015; their roundings by 1.01.
     orders = orders_of(
@@ -185,7 +222,7 @@ def test_a_month_may_be_current_and_previous(spark):
 
 @pytest.fixture(scope="module")
 def one_issue(spark):
-    """An investigation with every kind of result, from enriched orders."""
+    """An investigation with every kind of result, from one drill-down."""
     groups = []
     for n, state in enumerate(["RJ", "SP", "M|G", "BA"]):
         groups += [
@@ -197,7 +234,8 @@ def one_issue(spark):
     analysis.delivery_comparisons = comparisons.filter("current_month = DATE '2018-02-01'")
     analysis.sellers = sellers_of(spark, "s0", "s1", "s2", "s3")
     issues = investigation.issue_keys(analysis.delivery_comparisons)
-    return Investigation(analysis, issues, orders_of(spark, groups).cache())
+    measured = investigation.drill_down(orders_of(spark, groups), investigation.LEVELS)
+    return Investigation(analysis, issues, measured.cache())
 
 
 def test_result_contract(spark, one_issue):

@@ -55,8 +55,24 @@ def test_single_sellers_need_no_distinct_count(spark):
     assert plan.count("Exchange") == 1 and "partial_min" in plan
 
 
-def test_order_facts_move_orders_twice_and_each_child_once(spark):
+def test_order_facts_move_orders_twice_and_no_item_in_copies(spark):
     plan = plan_of(spark, "order_facts")
     assert plan.count("Exchange hashpartitioning(customer_id") == 2
-    # Orders, item totals, payment totals and reviews meet on the order.
-    assert plan.count("Exchange hashpartitioning(order_id#") <= 7
+    # Orders; items by product, by seller and by order; payments by word and order; reviews.
+    assert plan.count("Exchange hashpartitioning(order_id#") == 7
+    assert "Expand" not in plan
+
+
+def test_payments_are_read_for_the_sequences_and_for_the_records(spark):
+    plan = plan_of(spark, "payment_flags")
+    assert plan.count("Scan parquet") == 2 and "BroadcastExchange" not in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:bigint>" in plan or "l_linenumber:int>" in plan
+
+
+def test_rules_keys_and_references_read_each_table_once(spark):
+    for name in ("constraint_report", "dq_report"):
+        plan = plan_of(spark, name)
+        assert plan.count("lineitem.parquet") == 3  # items, payments and reviews
+        assert plan.count("/orders.parquet") == plan.count("/customer.parquet") == 1
+        # Beside the counts' own exchanges only the sources' lookups move rows.
+        assert plan.count("Exchange hashpartitioning(domain") == 2
