@@ -14,7 +14,8 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     ``links`` has columns ``a`` and ``b``.  Large-star and small-star steps alternate
     until nothing changes; the number of rounds grows with the logarithm of the
     longest path.  Every step is a grouped minimum, combined before the shuffle, and
-    a join with one row per node, so that a node with many links is no bottleneck.
+    a join with one row per node, in which adaptive execution splits a node with many links.
+    ``scratch`` can drop the result.
     """
     edges = scratch.keep(
         links.where(F.col("a") != F.col("b"))
@@ -39,7 +40,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         following = scratch.keep(small.distinct())
         scratch.drop(edges, wide)
         edges = following
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return scratch.view(edges, edges.select(F.col("u").alias("node"), F.col("v").alias("root")))
 
 
 def _is_forest(edges: DataFrame) -> bool:

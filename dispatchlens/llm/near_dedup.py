@@ -7,8 +7,9 @@
    Classes that are likely near the threshold form a cluster; a block hands on only
    edges that connect it, so a large group of near copies costs rows in proportion.
 3. Within a cluster the full sets are counted, pair by pair, but for pairs that are
-   connected already.  Blocks of a large cluster are dealt anew and at last, where parts
-   are still apart, compared with each other.  No link is left out.
+   connected already.
+   Blocks of a large band or cluster are dealt anew and at last, where parts are still
+   apart, compared with each other.  No link is left out.
 4. Verified links become connected components.
 """
 
@@ -288,14 +289,17 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
             F.first("registers").alias("registers"),
         )
     )
+    slim = scratch.keep(rows.select("doc_id", "key", "n"))
+    scratch.drop(rows)
     roots = _roots(docs, classes, settings, scratch)
     labelled = classes.select("key", "doc_id").join(
         roots.withColumnRenamed("node", "key"), "key", "left"
     )
     labelled = labelled.select("key", "doc_id", F.coalesce("root", "key").alias("root"))
     least = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = labelled.join(least, "root").select("key", "component_id")
-    out = rows.select("doc_id", "key", F.col("n").alias("n_shingles")).join(named, "key", "left")
+    named = scratch.keep(labelled.join(least, "root").select("key", "component_id"))
+    scratch.drop(classes, roots)
+    out = slim.select("doc_id", "key", F.col("n").alias("n_shingles")).join(named, "key", "left")
     return out.select(
         "doc_id",
         "key",
@@ -315,10 +319,11 @@ def _roots(docs: DataFrame, classes: DataFrame, settings: Settings, scratch: Scr
     members = classes.select("key", "n", F.explode(band).alias("band"))
     crowded = members.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
     shared = scratch.keep(members.join(crowded.select("band"), "band"))
-    groups = shared.select(F.col("band").alias("group"), "key", "n", F.xxhash64("key").alias("root"))
-    likely = _compared(_blocks(groups, settings, 0, True), classes, _cluster, settings)
-    clusters = scratch.keep(components(likely, scratch))
+    groups = shared.select(F.col("band").alias("group"), "key", "n")
+    clusters = _linked(groups, classes, _cluster, settings, scratch)
     scratch.drop(shared)
+    if clusters is None:
+        return classes.select(F.col("key").alias("node"), F.col("key").alias("root")).limit(0)
     named = clusters.select(F.col("node").alias("key"), "root").union(
         clusters.select(F.col("root").alias("key"), "root").distinct()
     )
@@ -329,18 +334,34 @@ def _roots(docs: DataFrame, classes: DataFrame, settings: Settings, scratch: Scr
     )
     elements = scratch.keep(_elements(docs, named, settings))
     full = classes.select("key", "registers").join(elements, "key")
+    roots = _linked(named, full, _verify, settings, scratch)
+    scratch.drop(named, elements)
+    if roots is None:
+        return clusters.limit(0)
+    scratch.drop(clusters)
+    return roots
+
+
+def _linked(named: DataFrame, values: DataFrame, compare, settings: Settings, scratch: Scratch) -> DataFrame | None:
+    """``node, root`` of the members of ``named`` (group, key, n) that links connect, if any.
+
+    Groups are compared in blocks, dealt in two ways; only groups of several blocks that
+    still hold several components have their blocks compared with each other.
+    """
     roots = None
-    # Blocks on their own, dealt in two ways; then blocks against each other.
     for salt, across in ((0, False), (1, False), (2, True)):
-        members = _open(named, roots, settings) if roots is not None else named.withColumn("root", F.xxhash64("key"))
+        members = named.withColumn("root", F.xxhash64("key")) if roots is None else _open(named, roots, settings)
         members = scratch.keep(members.select("group", "key", "n", "root"))
         if members.isEmpty():
+            scratch.drop(members)
             break
-        found = _compared(_blocks(members, settings, salt, across), full, _verify, settings)
+        found = _compared(_blocks(members, settings, salt, across), values, compare, settings)
         if roots is not None:
             found = found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = components(found, scratch)
-    return roots if roots is not None else clusters.limit(0)
+        linked = components(found, scratch)
+        scratch.drop(members, *([] if roots is None else [roots]))
+        roots = linked
+    return roots
 
 
 def _elements(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:

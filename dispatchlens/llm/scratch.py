@@ -43,6 +43,11 @@ class Scratch:
         self.paths[id(table)] = path
         return table
 
+    def view(self, table: DataFrame, frame: DataFrame) -> DataFrame:
+        """``frame``, which reads nothing but the kept ``table`` and is dropped in its place."""
+        self.paths[id(frame)] = self.paths.pop(id(table))
+        return frame
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables that ``keep`` returned and nothing will read again."""
         for table in tables:
