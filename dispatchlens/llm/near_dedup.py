@@ -345,17 +345,17 @@ def _roots(docs: DataFrame, classes: DataFrame, settings: Settings, scratch: Scr
 def _linked(named: DataFrame, values: DataFrame, compare, settings: Settings, scratch: Scratch) -> DataFrame | None:
     """``node, root`` of the members of ``named`` (group, key, n) that links connect, if any.
 
-    Groups are compared in blocks, dealt in two ways; only groups of several blocks that
-    still hold several components have their blocks compared with each other.
+    Groups are compared in blocks, large ones dealt in two ways at once; only groups of
+    several blocks that still hold several components have all their blocks compared.
     """
     roots = None
-    for salt, across in ((0, False), (1, False), (2, True)):
+    for across in (False, True):
         members = named.withColumn("root", F.xxhash64("key")) if roots is None else _open(named, roots, settings)
         members = scratch.keep(members.select("group", "key", "n", "root"))
         if members.isEmpty():
             scratch.drop(members)
             break
-        found = _compared(_blocks(members, settings, salt, across), values, compare, settings)
+        found = _compared(_blocks(members, settings, across), values, compare, settings)
         if roots is not None:
             found = found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         linked = components(found, scratch)
@@ -391,14 +391,20 @@ def _open(named: DataFrame, roots: DataFrame, settings: Settings) -> DataFrame:
     return rows.join(split.where((F.col("x") != F.col("y")) & (F.col("c") > settings.block)).select("group"), "group")
 
 
-def _blocks(members: DataFrame, settings: Settings, salt: int, across: bool) -> DataFrame:
-    """Members dealt into blocks of their group; ``across``: every two blocks meet too."""
+def _blocks(members: DataFrame, settings: Settings, across: bool) -> DataFrame:
+    """Members dealt into blocks of their group; ``across``: every two blocks meet.
+
+    Else a group of several blocks is dealt a second time, in another way.
+    """
     counts = members.groupBy("group").agg(F.ceil(F.count("*") / settings.block).alias("blocks"))
-    dealt = members.join(counts, "group").withColumn(
-        "block", F.pmod(F.xxhash64("key", F.lit(salt)), F.col("blocks"))
-    )
+    dealt = members.join(counts, "group")
     if not across:
-        return dealt.withColumn("i", F.col("block")).withColumn("j", F.col("block")).drop("blocks")
+        deals = F.when(F.col("blocks") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        dealt = dealt.withColumn("deal", F.explode(deals))
+        block = F.pmod(F.xxhash64("key", "deal"), F.col("blocks")) + F.col("deal") * F.col("blocks")
+        dealt = dealt.withColumn("block", block)
+        return dealt.withColumn("i", F.col("block")).withColumn("j", F.col("block")).drop("blocks", "deal")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("key", F.lit(2)), F.col("blocks")))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = dealt.withColumn("k", every)
     return dealt.select(

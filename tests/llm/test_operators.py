@@ -93,6 +93,17 @@ def test_near_duplicates(spark, small, which):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+def test_near_duplicates_of_groups_of_many_blocks(spark):
+    """Chains of near copies, whose ends are far apart, and unlike texts in the same bands."""
+    words = [f"w{k}" for k in range(140)]
+    rows = [(k, " ".join(words[k : k + 60]), None, None) for k in range(0, 80, 2)]
+    rows += [(1000 + k, " ".join([*words[:60], f"x{k}"]), None, None) for k in range(40)]
+    docs = table(spark, rows)
+    found = near_dedup.near_duplicates(docs, near_dedup.Settings(width=2, block=5)).collect()
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in found)
+    assert got == sorted(component_ids([(i, t) for i, t, _, _ in rows], 2))
+
+
 def test_dedup_keeps_one_of_each_group_and_the_columns(spark):
     docs = awkward(spark)
     left = near_dedup.dedup(docs)
