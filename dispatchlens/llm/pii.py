@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
+from .spans import apart_from, let, running
 
 # The base patterns.  A match starts where its run of characters starts, or
 # where the last match ended; possessive quantifiers keep long runs linear.
@@ -56,26 +57,23 @@ def _found(text: Column, kind: str, pattern: str) -> Column:
         F.regexp_replace(F.translate(text, _MARK, _INSTEAD), f"({pattern})", f"{_MARK}$1{_MARK}"), _MARK, -1
     )
     none = F.array().cast("array<struct<kind:string,start:int,end:int,text:string,before:string>>")
-    start = F.struct(
-        F.lit(0).alias("at"), F.lit(False).alias("match"), F.lit("").alias("before"), none.alias("spans")
-    )
+    zero = F.lit(0).cast("long")
+
+    def spans(p: Column) -> Column:
+        starts = running(F.transform(p, lambda piece: F.length(piece).cast("long")), zero, lambda a, b: a + b)
+        matches = F.sequence(F.lit(1), F.greatest(F.size(p) - 1, F.lit(1)), F.lit(2))
+
+        def span(i: Column, at: Column) -> Column:
+            start, found = F.get(at, i).cast("int"), F.get(p, i)
+            return F.struct(
+                F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(found)).alias("end"),
+                found.alias("text"), F.substring(F.get(p, i - 1), -32, 32).alias("before"),
+            )
 
-    def step(state: Column, piece: Column) -> Column:
-        end = (state["at"] + F.length(piece)).cast("int")
-        span = F.struct(
-            F.lit(kind).alias("kind"), state["at"].alias("start"), end.alias("end"),
-            piece.alias("text"), state["before"].alias("before"),
-        )
-        return F.struct(
-            end.alias("at"),
-            (~state["match"]).alias("match"),
-            F.substring(piece, -32, 32).alias("before"),
-            F.when(state["match"], F.concat(state["spans"], F.array(span)))
-            .otherwise(state["spans"])
-            .alias("spans"),
-        )
+        return let(starts, lambda at: F.transform(matches, lambda i: span(i, at)))
 
-    return F.when(F.size(pieces) > 1, F.aggregate(pieces, start, step)["spans"]).otherwise(none)
+    found = let(pieces, lambda p: F.when(F.size(p) > 1, spans(p)).otherwise(none))
+    return found
 
 
 def _digits(text: Column) -> Column:
@@ -180,11 +178,7 @@ def _candidates(text: Column, base: Column) -> Column:
     hinted = [text.rlike("[0-9]"), text.rlike("[0-9]{3}[) .-]"), text.rlike(r"[\[(]at[\])]")]
     none = F.array().cast("array<struct<kind:string,start:int,end:int,text:string,before:string>>")
     spans = F.concat(*[F.when(h, f).otherwise(none) for h, f in zip(hinted, found)])
-    apart = F.filter(
-        spans,
-        lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
-    return F.transform(apart, _described)
+    return F.transform(apart_from(spans, base), _described)
 
 
 def _log_odds(p: float) -> float:
