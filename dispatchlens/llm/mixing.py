@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .scratch import Scratch
+from .scratch import Scratch, unused
 
 MOST = 3
 _BUCKET_ROWS = 10_000
@@ -161,6 +161,15 @@ def mix(docs: DataFrame, schedule: Schedule | None = None) -> DataFrame:
     )
 
 
+def in_order(mixed: DataFrame) -> DataFrame:
+    """The rows of ``mix`` range-sorted by position, those without one last; ties by id.
+
+    Partitions follow each other, so a writer's files are in the order of training.
+    """
+    order = [F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_last()]
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def curriculum(docs: DataFrame, schedule: Schedule | None = None) -> DataFrame:
     """``docs`` in the order of training, with as many copies as the mix takes.
 
@@ -179,9 +188,12 @@ def curriculum(docs: DataFrame, schedule: Schedule | None = None) -> DataFrame:
         F.max("copies").alias("copies"), F.min("position").alias("position"),
         F.first(F.col("source_size") / F.col("target")).alias("stride"),
     ))
-    turns = F.explode(F.sequence(F.lit(0), F.col("__copies") - 1))
-    named = plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns])
-    due = docs.join(named, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc_id")))
-    due = due.select(*docs.columns, "__position", "__stride", turns.alias("__turn"))
-    due = due.withColumn("__at", F.col("__position") + F.col("__turn") * F.col("__stride"))
-    return due.repartitionByRange("__at", "doc_id").sortWithinPartitions("__at", "doc_id").select(*docs.columns)
+    names = dict(zip([*plan.columns, "turn", "at"], unused(docs, *plan.columns, "turn", "at")))
+    named = plan.select(*[F.col(c).alias(names[c]) for c in plan.columns])
+    turns = F.explode(F.sequence(F.lit(0), F.col(names["copies"]) - 1))
+    due = docs.join(named, F.col("doc_id").cast("long").eqNullSafe(F.col(names["doc_id"])))
+    due = due.select(*docs.columns, names["position"], names["stride"], turns.alias(names["turn"]))
+    at = F.col(names["position"]) + F.col(names["turn"]) * F.col(names["stride"])
+    due = due.withColumn(names["at"], at)
+    order = [names["at"], "doc_id"]
+    return due.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)

@@ -65,7 +65,8 @@ def _pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     left = line_runs.without_runs(docs, line_runs.repeated_runs(docs))
-    return left.select("doc_id", "n_deleted", F.sha2(F.col("text"), 256).alias("text_sha256"))
+    digest = F.sha2(F.col("text"), 256).alias("text_sha256")
+    return left.select("doc_id", "n_deleted", "n_runs", "longest_run", digest)
 
 
 def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,9 +85,10 @@ def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_documents(spark, sf_dir)).select(
-        "doc_id", "size", "source_size", "target", "taken"
-    )
+    """The mix in the order of training; documents that it does not take come last."""
+    mixed = mixing.in_order(mixing.mix(_documents(spark, sf_dir)))
+    position = F.round("position", 9).alias("position")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", position)
 
 
 def _token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +136,8 @@ WITH sizes AS (
   FROM documents
 ), totals AS (
   SELECT source, sum(size) AS source_size,
-         1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+         1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight,
+         CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 - 1 AS DOUBLE) / 2 AS slope
   FROM sizes GROUP BY source
 ), levels AS (
   SELECT *, (sum(source_size) OVER ()
@@ -146,19 +149,25 @@ WITH sizes AS (
             AS level
   FROM totals
 ), targets AS (
-  SELECT source, source_size, least(3.0 * source_size, max(level) OVER () * weight) AS target
+  SELECT source, source_size, slope, least(3.0 * source_size, max(level) OVER () * weight) AS target
   FROM levels
 ), placed AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target,
+  SELECT s.doc_id, s.size, t.source_size, CAST(t.target AS DOUBLE) AS target, t.slope,
          coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.size
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
   FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), counted AS (
+  SELECT *, CAST(least(greatest(round(target) - place, 0), size)
+               + least(greatest(round(target) - place - source_size, 0), size)
+               + least(greatest(round(target) - place - 2 * source_size, 0), size) AS BIGINT) AS taken,
+         CAST(place AS DOUBLE) / target AS done
+  FROM placed
 )
-SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, CAST(target AS DOUBLE) AS target,
-       CAST(least(greatest(round(target) - place, 0), size)
-          + least(greatest(round(target) - place - source_size, 0), size)
-          + least(greatest(round(target) - place - 2 * source_size, 0), size) AS BIGINT) AS taken
-FROM placed
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, taken,
+       round(CASE WHEN taken > 0 THEN CASE WHEN done <= 0 THEN 0.0 ELSE least(1.0,
+         2 * done / (1 - slope + sqrt(greatest((1 - slope) * (1 - slope) + 4 * slope * done, 0.0)))) END END, 9)
+         AS position
+FROM counted
 """
 
 

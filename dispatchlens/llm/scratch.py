@@ -22,6 +22,14 @@ def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(_BATCH_ROWS, str(rows))
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that ``docs`` has no column of."""
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return [prefix + n for n in names]
+
+
 class Scratch:
     """Writes tables to the shared folder and deletes those no longer needed.
 

@@ -303,17 +303,22 @@ def test_every_copy_of_a_passage_in_a_document(spark):
 
 
 def deleted_lines(rows):
-    first, out = {}, {}
-    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
-    for i, text in ordered:
-        lines = text.split("\n")
-        for k in range(len(lines) - 1):
-            first.setdefault((lines[k], lines[k + 1]), (i, k))
-    for i, text in ordered:
-        lines, gone = text.split("\n"), set()
-        for k in range(len(lines) - 1):
-            if first[(lines[k], lines[k + 1])] != (i, k):
-                gone |= {k, k + 1}
+    """Every place compared with every earlier place that begins with the same line."""
+    texts = [t.split("\n") for _, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))]
+    ids = sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    places, out = {}, {}
+    for n, (i, lines) in enumerate(zip(ids, texts)):
+        gone = set()
+        for k, line in enumerate(lines):
+            longest = 0
+            for m, j in places.get(line, ()):
+                other, size = texts[m], 1
+                while k + size < len(lines) and j + size < len(other) and lines[k + size] == other[j + size]:
+                    size += 1
+                longest = max(longest, size)
+            if longest >= 2 or longest and len(line.split()) >= line_runs.WORDS:
+                gone |= set(range(k, k + longest))
+            places.setdefault(line, []).append((n, k))
         out[i] = (len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone))
     return out
 
@@ -341,6 +346,32 @@ def test_line_runs_of_awkward_rows(spark):
     assert longest[2] == 3 and longest[5] == 4
 
 
+def test_line_runs_of_one_line_and_hot_lines(spark):
+    """One-line texts, lines between other neighbours, a line in every text, a long text."""
+    same, short = "this line has more than five words", "short one"
+    rows = [(k, "\n".join([f"own words {k}", same, "", f"other words {k}", short, str(k)]), None, None) for k in range(60)]
+    rows += [(100 + k, same if k % 2 else f"a line of five words {k // 4}", None, None) for k in range(20)]
+    rows += [(200 + k, "\n".join(f"line {j % 700}" for j in range(k, 3000)), None, None) for k in (0, 5)]
+    docs = table(spark, rows).withColumnsRenamed({"key": "_runs", "node": "__Doc"})
+    for partitions in ("1", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            left = line_runs.without_runs(docs, line_runs.repeated_runs(docs)).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert {r.doc_id: (r.n_deleted, r.text) for r in left} == deleted_lines([r[:2] for r in rows])
+    assert line_runs.without_runs(docs.limit(0), line_runs.repeated_runs(docs.limit(0))).count() == 0
+
+
+def test_intervals_across_partitions():
+    def end(number, place, whole=False):
+        return {"end": number, "doc": place, "text_key": 0, "line": 0, "whole": whole}
+
+    marks = [end(1, 9), end(2, 5, True), end(4, 7), end(5, 3), end(7, 8), end(8, 2)]
+    firsts = {e: d for e, d, _, _ in line_runs._first_places(marks)}
+    assert firsts == {1: 5, 2: 5, 4: 5, 5: 3, 7: 2, 8: 2}
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
