@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from contextlib import contextmanager
 
 import numpy as np
 import pytest
@@ -290,6 +291,60 @@ def test_passage_of_two_middle_documents(spark):
     assert (row.doc_id, row.first_word, row.last_word, row.other_id) == (6, 60, 120, 5)
 
 
+@contextmanager
+def dealt_over(spark, partitions):
+    """As many partitions as a shuffle has, however small they are."""
+    options = {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {o: spark.conf.get(o) for o in options}
+    for option, value in options.items():
+        spark.conf.set(option, value)
+    try:
+        yield
+    finally:
+        for option, value in before.items():
+            spark.conf.set(option, value)
+
+
+def test_frequent_seeds_across_partitions(spark):
+    """A passage in many documents, whose seeds fill several partitions, and fuzzy groups."""
+    rng = np.random.default_rng(5)
+    hot = [f"h{k}" for k in range(70)]
+    rows = [(k, " ".join([f"o{k}w{j}" for j in range(20)] + hot + [f"e{k}w{j}" for j in range(k % 9)])) for k in range(90)]
+    groups = [[f"g{g}w{k}" for k in range(90)] for g in range(6)]
+    for k in range(36):
+        passage = [w if rng.random() > 0.04 else f"x{k}y{j}" for j, w in enumerate(groups[k % 6])]
+        rows.append((1000 + k, " ".join([f"o{k}v{j}" for j in range(10 + k)] + passage)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    results = []
+    for partitions in (1, 5, 40):
+        with dealt_over(spark, partitions):
+            found = fuzzy_passages.shared_passages(docs).collect()
+        results.append(sorted(map(tuple, found)))
+        linked = {r.doc_id for r in found} | {r.other_id for r in found}
+        assert linked == {i for i, _ in rows}
+        kind = lambda i: "hot" if i < 1000 else i % 1000 % 6
+        assert all(kind(r.doc_id) == kind(r.other_id) for r in found)
+        exact = {(r.first_word, r.last_word) for r in found if r.doc_id < 1000}
+        assert exact == {(20, 90)}
+    assert results[0] == results[1] == results[2]
+    empty = docs.limit(0)
+    assert fuzzy_passages.shared_passages(empty).count() == 0
+
+
+def test_straight_chains_are_those_of_the_tree():
+    settings = fuzzy_passages.Settings()
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        x = np.unique(np.cumsum(rng.choice([1, 3, 6, 9, 20, 40, 46, 47, 90], rng.integers(1, 40))))
+        # A far match off the diagonal, which nothing reaches, sends the rest to the tree.
+        straight = fuzzy_passages.chains(x, x + 7, settings)
+        tree = fuzzy_passages.chains(np.append(x, 10**6), np.append(x + 7, 10**5), settings)
+        assert straight == [c for c in tree if c != [len(x)]]
+
+
 def test_every_copy_of_a_passage_in_a_document(spark):
     passage = [f"p{k}" for k in range(80)]
     own = lambda n: [f"d{n}w{k}" for k in range(60)]
@@ -353,12 +408,9 @@ def test_line_runs_of_one_line_and_hot_lines(spark):
     rows += [(100 + k, same if k % 2 else f"a line of five words {k // 4}", None, None) for k in range(20)]
     rows += [(200 + k, "\n".join(f"line {j % 700}" for j in range(k, 3000)), None, None) for k in (0, 5)]
     docs = table(spark, rows).withColumnsRenamed({"key": "_runs", "node": "__Doc"})
-    for partitions in ("1", "7"):
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
-        try:
+    for partitions in (1, 7):
+        with dealt_over(spark, partitions):
             left = line_runs.without_runs(docs, line_runs.repeated_runs(docs)).collect()
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", "8")
         assert {r.doc_id: (r.n_deleted, r.text) for r in left} == deleted_lines([r[:2] for r in rows])
     assert line_runs.without_runs(docs.limit(0), line_runs.repeated_runs(docs.limit(0))).count() == 0
 
