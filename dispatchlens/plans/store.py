@@ -42,7 +42,11 @@ def read_fact_store(
     spark: SparkSession, path: str, sellers: DataFrame, settings: Settings = Settings()
 ) -> Analysis:
     """An analysis whose orders come from the store, enriched as they are."""
-    stored = spark.read.parquet(path)
+    return analysis_of_facts(spark.read.parquet(path), sellers, settings)
+
+
+def analysis_of_facts(stored: DataFrame, sellers: DataFrame, settings: Settings = Settings()) -> Analysis:
+    """An analysis over rows as ``fact_rows`` gives them."""
     month = F.col("purchase_month")
     # Whole months that the window touches: the partitions any result may need.
     touched = stored.filter(

@@ -9,6 +9,7 @@ from oracle.documents import (
     STATES_DOCUMENT,
 )
 from oracle.diagnosis import DIAGNOSIS, EXCESS_CENTS, KPI_TABLE, TOP_ROWS
+from oracle.fingerprints import repeated_run
 from oracle.tables import KEYS, TOP, WINDOW_END, WINDOW_START, ratio, sql
 
 _ISSUE_ROW = """previous_month, current_month, current_order_count,
@@ -34,6 +35,24 @@ _ITEM_COLUMNS = f"""CAST(order_id AS VARCHAR) AS order_id, CAST(order_item_id AS
     shipping_limit_date, price_c {_CENT} AS price, freight_c {_CENT} AS freight_value,
     (price_c + freight_c) {_CENT} AS item_total"""
 
+# The columns of the cleaned tables that are fingerprinted.
+CLEAN_COLUMNS = {
+    "sellers": ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
+    "order_items": [
+        "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price",
+        "freight_value", "item_total",
+    ],
+    "payments": [
+        "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value",
+        "is_invalid_installment", "is_zero_value_payment", "payment_sequence_start_missing",
+        "payment_sequence_internal_gap",
+    ],
+    "reviews": [
+        "review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
+        "review_creation_date", "review_answer_timestamp",
+    ],
+}
+
 _SCORE = "score_m / 10000.0::DOUBLE AS average_review_score"
 
 
@@ -833,4 +852,18 @@ def oracle_sql() -> dict[str, str]:
         "bi_issue_cards": _CARDS,
         "bi_issue_star": _STAR,
     }
+    statements["repeated_run"] = repeated_run(
+        {
+            name: (statements[query], CLEAN_COLUMNS[name])
+            for name, query in {
+                "sellers": "clean_sellers",
+                "order_items": "typed_order_items", "payments": "payment_flags",
+                "reviews": "clean_reviews",
+            }.items()
+        }
+    )
+    statements["fact_store_refresh"] = f"""
+        SELECT purchase_month, count(*) AS orders,
+            CASE WHEN purchase_month = DATE '1997-02-01' THEN 'written' ELSE 'kept' END AS action
+        FROM ({_FACTS}) GROUP BY purchase_month"""
     return {name: sql(body) for name, body in statements.items()}
