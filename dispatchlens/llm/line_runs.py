@@ -48,6 +48,14 @@ def _doc() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
 
 
+def _has_words(line: Column, words: int) -> Column:
+    """Whether a line has that many words; reads no further than to the last of them."""
+    if words < 1:
+        return F.lit(True)
+    word, gap = r"[^\x20\x09-\x0D]", r"[\x20\x09-\x0D]"
+    return F.rlike(line, F.lit(rf"\A{gap}*+(?:{word}++{gap}++){{{words - 1}}}{word}"))
+
+
 def _elements(docs: DataFrame, words: int) -> DataFrame:
     """``doc, text_key, line, key, alone``: every line of every text.
 
@@ -57,7 +65,7 @@ def _elements(docs: DataFrame, words: int) -> DataFrame:
         F.split(F.col("text").cast("string"), "\n"),
         lambda x: F.struct(
             F.unhex(F.md5(x)).alias("key"),
-            (F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+")) >= words).alias("alone"),
+            _has_words(x, words).alias("alone"),
         ),
     )
     rows = docs.where(F.col("text").isNotNull()).select(
