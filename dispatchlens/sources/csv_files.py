@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dispatchlens.schemas import MULTILINE_TABLES, RAW_COLUMNS
+from dispatchlens.sources import split_csv
 
 # Quotes inside a quoted field are doubled.
 _FORMAT = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
@@ -41,12 +42,17 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return names
 
 
-def read_text(spark: SparkSession, path: str, header: list[str], multiline: bool) -> DataFrame:
+def read_text(
+    spark: SparkSession, path: str, header: list[str], multiline: bool, split: bool = False
+) -> DataFrame:
     """All columns as text; every file of ``path`` must have ``header``.
 
     Only files whose fields may hold line breaks need ``multiline``: it keeps a
-    file from being split, so such data should come in many files.
+    file from being split, so such data should come in many files, or be read with
+    ``split``, which finds the records of a large file in many tasks (``split_csv``).
     """
+    if multiline and split:
+        return split_csv.read_text(spark, path, header, _FORMAT)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     options = {
         **_FORMAT,
@@ -66,7 +72,11 @@ def header_problems(table: str, header: list[str], expected: list[str]) -> list[
 
 
 def load_raw(
-    spark: SparkSession, table: str, path: str, expected: list[str] | None = None
+    spark: SparkSession,
+    table: str,
+    path: str,
+    expected: list[str] | None = None,
+    split: bool = False,
 ) -> DataFrame:
     """One raw table in contract order; a broken header raises."""
     expected = RAW_COLUMNS[table] if expected is None else expected
@@ -75,11 +85,11 @@ def load_raw(
     if problems:
         listed = ", ".join(f"{p.column_name} {p.problem}" for p in problems)
         raise HeaderError(f"{table}: {listed}")
-    return read_text(spark, path, header, table in MULTILINE_TABLES).select(*expected)
+    return read_text(spark, path, header, table in MULTILINE_TABLES, split).select(*expected)
 
 
 def load_all(
-    spark: SparkSession, paths: dict[str, str]
+    spark: SparkSession, paths: dict[str, str], split: bool = False
 ) -> tuple[dict[str, DataFrame], list[Problem]]:
     """All readable tables, and the problems of the others."""
     frames: dict[str, DataFrame] = {}
@@ -98,7 +108,8 @@ def load_all(
             problems += broken
         else:
             multiline = table in MULTILINE_TABLES
-            frames[table] = read_text(spark, path, header, multiline).select(*RAW_COLUMNS[table])
+            text = read_text(spark, path, header, multiline, split)
+            frames[table] = text.select(*RAW_COLUMNS[table])
     return frames, problems
 
 
