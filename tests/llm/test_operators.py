@@ -357,6 +357,17 @@ def test_every_copy_of_a_passage_in_a_document(spark):
         assert got == {60, 200}
 
 
+def test_passage_of_documents_that_are_never_neighbours(spark):
+    """Every seed of it has other documents first, last and between, none with all of it."""
+    passage = [f"p{k}" for k in range(60)]
+    own = lambda n: [f"d{n}w{k}" for k in range(60)]
+    parts = lambda n: sum((passage[k : k + 40] + own(100 * n + k) for k in range(0, 25, 5)), [])
+    rows = [(n, " ".join(parts(n)), "en", "a") for n in (1, 3, 5, 7, 9)]
+    rows += [(n, " ".join(own(n) + passage), "en", "a") for n in (4, 6)]
+    (row,) = fuzzy_passages.shared_passages(table(spark, rows)).collect()
+    assert (row.doc_id, row.first_word, row.last_word, row.other_id, row.class_id) == (6, 60, 120, 4, 4)
+
+
 def deleted_lines(rows):
     """Every place compared with every earlier place that begins with the same line."""
     texts = [t.split("\n") for _, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))]
