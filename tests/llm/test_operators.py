@@ -8,6 +8,7 @@ import zlib
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -345,6 +346,34 @@ def test_straight_chains_are_those_of_the_tree():
         assert straight == [c for c in tree if c != [len(x)]]
 
 
+def test_batches_of_seed_pairs_are_small():
+    settings = fuzzy_passages.Settings()
+    n = 20_000
+    spot = np.arange(n) * 4
+    columns = [np.arange(n) * 7919, np.full(n, 3), spot, np.full(n, 3)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["seed", "doc", "spot", "root"])
+    sizes = [b.num_rows for b in fuzzy_passages._keys(settings)(iter([batch]))]
+    least, most = settings.span
+    assert max(sizes) <= fuzzy_passages._ROWS_AT_ONCE
+    near = np.searchsorted(spot >> 1, (spot >> 1) + most, side="right") - np.searchsorted(spot >> 1, (spot >> 1) + least)
+    assert sum(sizes) == near.sum()
+
+
+def test_seeds_of_many_texts_are_those_of_each():
+    settings = fuzzy_passages.Settings()
+    none = np.zeros(0, dtype=np.int64)
+    texts = ["a b " * 40, "x " * 49, "x " * 50, "", " ".join(f"w{k * k % 91}" for k in range(400)), "y z " * 25]
+
+    def rows(ids):
+        batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array([texts[k] for k in ids])], names=["doc", "text"])
+        found = fuzzy_passages._seeds(settings, (none, none))(iter([batch]))
+        return sorted(tuple(r.values()) for b in found for r in b.to_pylist())
+
+    together = rows(list(range(len(texts))))
+    assert together == sorted(r for k in range(len(texts)) for r in rows([k]))
+    assert {r[1] for r in together} == {0, 2, 4, 5}
+
+
 def test_every_copy_of_a_passage_in_a_document(spark):
     passage = [f"p{k}" for k in range(80)]
     own = lambda n: [f"d{n}w{k}" for k in range(60)]
