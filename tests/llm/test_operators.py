@@ -223,6 +223,18 @@ def test_later_part_of_an_item_is_found(spark):
     assert decontamination.window_starts(10) == [0] and decontamination.window_starts(31) == [0, 3, 6, 7]
 
 
+@pytest.mark.parametrize("rows", [0, 1, 255, 256, 1000])
+def test_near_pairs_are_all_that_reach_the_least_cosine(rows):
+    rng = np.random.default_rng(rows)
+    window, queries = rng.integers(-3, 4, (rows, 5)), rng.integers(-3, 4, (5, 24))
+    least = np.append(rng.integers(5, 30, 21), [np.inf] * 3).astype(np.float32)
+    at, query, value = decontamination.near_pairs(window.astype(np.float32), queries.astype(np.float32), least)
+    near = window @ queries
+    want = np.nonzero(near >= least)
+    assert np.array_equal(at, want[0]) and np.array_equal(query, want[1])
+    assert np.array_equal(value, near[want])
+
+
 def test_common_subsequence():
     places = decontamination._places(np.array([1, 2, 3, 2, 5]))
     assert decontamination.common_subsequence(places, 5, [2, 9, 3, 2, 1, 5]) == 4
