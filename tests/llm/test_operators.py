@@ -235,6 +235,21 @@ def test_near_pairs_are_all_that_reach_the_least_cosine(rows):
     assert np.array_equal(value, near[want])
 
 
+def test_words_in_any_order_bound_the_common_subsequence():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        item = decontamination.Item(1, rng.integers(0, 9, 12), np.array([], dtype=np.int64))
+        other = rng.integers(0, 20, 30).tolist()
+        assert item.occurring(other) == sum(t in other for t in item.terms.tolist())
+        assert decontamination.common_subsequence(item.places, 12, other) <= item.occurring(other)
+
+
+def test_best_cosine_of_each_window_and_item():
+    at, item = np.array([0, 0, 0, 2, 2]), np.array([1, 1, 3, 0, 3])
+    got = decontamination._one_per_item(at, item, np.array([0.6, 0.9, 0.7, 0.8, 0.5]), 4)
+    assert [c.tolist() for c in got] == [[0, 0, 2, 2], [1, 3, 0, 3], [0.9, 0.7, 0.8, 0.5]]
+
+
 def test_common_subsequence():
     places = decontamination._places(np.array([1, 2, 3, 2, 5]))
     assert decontamination.common_subsequence(places, 5, [2, 9, 3, 2, 1, 5]) == 4
