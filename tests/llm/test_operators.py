@@ -424,6 +424,19 @@ def test_passage_of_documents_that_are_never_neighbours(spark):
     assert (row.doc_id, row.first_word, row.last_word, row.other_id, row.class_id) == (6, 60, 120, 4, 4)
 
 
+def test_copies_that_are_never_neighbours(spark):
+    """Every seed of them has other documents first, last and between."""
+    passage = [f"p{k}" for k in range(60)]
+    own = lambda n: [f"d{n}w{k}" for k in range(60)]
+    parts = lambda n: sum((passage[k : k + 49] + own(100 * n + k) for k in range(12)), [])
+    rows = [(n, " ".join(parts(n)), "en", "a") for n in (1, 3, 5, 7, 9)]
+    rows += [(n, " ".join(passage), "en", "a") for n in (4, 6, 8)]
+    found = fuzzy_passages.shared_passages(table(spark, rows)).collect()
+    assert {(r.doc_id, r.first_word, r.last_word, r.other_id, r.class_id) for r in found} == {
+        (6, 0, 60, 4, 4), (8, 0, 60, 4, 4)
+    }
+
+
 def deleted_lines(rows):
     """Every place compared with every earlier place that begins with the same line."""
     texts = [t.split("\n") for _, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))]
