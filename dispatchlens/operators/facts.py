@@ -101,7 +101,11 @@ def review_summary(reviews: DataFrame) -> DataFrame:
 
 
 def with_reviews(orders: DataFrame, reviews: DataFrame) -> DataFrame:
-    joined = orders.join(review_summary(reviews), "order_id", "left")
+    return _with_review_summary(orders, review_summary(reviews))
+
+
+def _with_review_summary(orders: DataFrame, reviewed: DataFrame) -> DataFrame:
+    joined = orders.join(reviewed, "order_id", "left")
     return joined.withColumn(
         "review_record_count", F.coalesce("review_record_count", F.lit(0).cast("long"))
     )
@@ -120,12 +124,17 @@ def order_measures(
     columns of a child unused do not pay for it: the optimizer drops an outer
     join to a side that is unique on the key.
     """
+    paid = payment_summary(payments) if flags else payment_totals(payments)
+    return with_summaries(orders, item_summary(items), paid, review_summary(reviews))
+
+
+def with_summaries(orders: DataFrame, items: DataFrame, paid: DataFrame, reviewed: DataFrame) -> DataFrame:
+    """Orders joined to the summaries of their items, payments and reviews."""
     zero, no = F.lit(0).cast("long"), F.lit(False)
     counts = ["item_count", "product_count", "seller_count", "payment_record_count"]
-    paid = payment_summary(payments) if flags else payment_totals(payments)
     flagged = [c for c in paid.columns if c.startswith("has_")]
     joined = (
-        orders.join(item_summary(items), "order_id", "left")
+        orders.join(items, "order_id", "left")
         .join(paid, "order_id", "left")
         .withColumns(
             {
@@ -136,7 +145,7 @@ def order_measures(
         .withColumns({c: F.coalesce(F.col(c), zero) for c in counts})
         .withColumns({c: F.coalesce(F.col(c), no) for c in flagged})
     )
-    return with_reviews(joined, reviews)
+    return _with_review_summary(joined, reviewed)
 
 
 # The columns of the order facts, in their published order.
@@ -170,13 +179,18 @@ def order_facts(
     partitioned by order.  An order whose customer is unknown keeps its measures, and
     identity and place are null: every path counts the same orders.
     """
+    placed = placed_orders(orders, customers)
+    return order_measures(placed, items, payments, reviews).select(*FACT_COLUMNS)
+
+
+def placed_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Orders with the identity and place of their customer and the date of purchase."""
     place = customers.select(
         "customer_id", "customer_unique_id", "customer_city", "customer_state"
     )
-    placed = orders.join(place, "customer_id", "left").withColumn(
+    return orders.join(place, "customer_id", "left").withColumn(
         "purchase_date", F.to_date("order_purchase_timestamp")
     )
-    return order_measures(placed, items, payments, reviews).select(*FACT_COLUMNS)
 
 
 def monthly_kpis(orders: DataFrame, settings: Settings) -> DataFrame:

@@ -113,7 +113,12 @@ def with_state(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 def with_single_seller(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders with their only seller, null where there are none or several."""
-    seller = single_seller_orders(items).withColumnRenamed("seller_id", "single_seller_id")
+    return with_seller(orders, single_seller_orders(items))
+
+
+def with_seller(orders: DataFrame, single: DataFrame) -> DataFrame:
+    """Orders with their seller of ``single_seller_orders``."""
+    seller = single.withColumnRenamed("seller_id", "single_seller_id")
     return orders.join(seller, "order_id", "left")
 
 

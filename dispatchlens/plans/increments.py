@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from dispatchlens.operators.fingerprint import fingerprint
 from dispatchlens.plans.analysis import Analysis
-from dispatchlens.plans.store import analysis_of_facts, fact_rows
+from dispatchlens.plans.shared import free_shuffles
+from dispatchlens.plans.store import analysis_of_facts, staged_fact_rows
 from dispatchlens.plans.versions import Files
 from dispatchlens.settings import Settings
 from dispatchlens.sources import sinks
@@ -86,8 +87,14 @@ def refresh(analysis: Analysis, root: str) -> dict[str, str]:
     read back, and unless their fingerprints are those of the facts, nothing is shown and
     ``LoadError`` is raised.  Of two runs at a time the one that ends later fails, since
     manifests are numbered and never replaced.  Facts without rows empty the store.
+
+    The facts are computed once, into the session's shared folder, and deleted there at the end.
     """
-    rows = fact_rows(analysis)
+    with staged_fact_rows(analysis) as rows:
+        return _refreshed(rows, root)
+
+
+def _refreshed(rows: DataFrame, root: str) -> dict[str, str]:
     spark, base = rows.sparkSession, root.rstrip("/")
     seen = manifests(spark, root)
     before, run = state(spark, root), uuid.uuid4().hex
@@ -97,7 +104,7 @@ def refresh(analysis: Analysis, root: str) -> dict[str, str]:
         changed = [m for m, found in now.items() if m not in before or found != (before[m].rows, before[m].fingerprint)]
         if changed:
             _write(_of_months(rows, changed), folder)
-    else:  # everything is new: written first, so that the facts are computed once
+    else:  # everything is new: written first, so that the facts are read once
         _write(rows, folder)
         now = changed = None
     if changed is None or changed:
@@ -125,6 +132,7 @@ def _of_months(rows: DataFrame, months: list[str]) -> DataFrame:
 def _write(rows: DataFrame, folder: str) -> None:
     balanced = rows.hint("rebalance", _MONTH)
     balanced.write.mode("errorifexists").partitionBy(_MONTH).parquet(folder)
+    free_shuffles(rows.sparkSession)
 
 
 def _written(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:

@@ -8,16 +8,18 @@ orders again.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispatchlens.functions.measures import month_of
-from dispatchlens.operators import investigation, quality
+from dispatchlens.operators import facts, investigation, quality
 from dispatchlens.operators.constraints import Lengths
 from dispatchlens.plans import gate, reports
 from dispatchlens.plans.analysis import Analysis
+from dispatchlens.plans.shared import Steps
 from dispatchlens.schemas import CLEAN_TABLES
 from dispatchlens.settings import Settings
 from dispatchlens.sources import sinks
@@ -28,6 +30,30 @@ def fact_rows(analysis: Analysis) -> DataFrame:
     return investigation.with_single_seller(analysis.order_facts, analysis.order_items)
 
 
+@contextmanager
+def staged_fact_rows(analysis: Analysis) -> Iterator[DataFrame]:
+    """``fact_rows`` as a table that lasts as long as the context.
+
+    Its parts are written one after the other, so that the disk holds the shuffle files of
+    one of them at a time and the rows can be read again without their shuffles.
+    """
+    spark = analysis.order_items.sparkSession
+    parts, whole = Steps(spark), Steps(spark)
+    try:
+        items = parts.keep(facts.item_summary(analysis.order_items), "item_summary")
+        single = parts.keep(investigation.single_seller_orders(analysis.order_items), "single_seller")
+        paid = parts.keep(facts.payment_summary(analysis.payment_records), "payment_summary")
+        reviewed = parts.keep(facts.review_summary(analysis.reviews), "review_summary")
+        placed = parts.keep(facts.placed_orders(analysis.timed_orders, analysis.customers), "placed_orders")
+        rows = facts.with_summaries(placed, items, paid, reviewed).select(*facts.FACT_COLUMNS)
+        rows = whole.keep(investigation.with_seller(rows, single), "fact_rows")
+        parts.drop()
+        yield rows
+    finally:
+        parts.drop()
+        whole.drop()
+
+
 def write_fact_store(analysis: Analysis, path: str) -> None:
     """Write the fact store under a new path.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dispatchlens.operators.fingerprint import combined, fingerprint, repeated_run
 from dispatchlens.plans import increments
 from dispatchlens.plans.analysis import Analysis
+from dispatchlens.plans.shared import shared_folder
 from dispatchlens.schemas import RAW_COLUMNS
 from dispatchlens.sources import sinks
 
@@ -138,3 +139,22 @@ def test_a_month_filter_prunes_folders(spark, tmp_path):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(purchase_month" in plan
     assert [r.order_id for r in rows.collect()] == ["2"]
+
+
+def test_facts_are_made_once_and_their_parts_deleted(spark, tmp_path, monkeypatch):
+    """The writer reads a table; with the joins in its plan all shuffles would be made again."""
+    root, plans = str(tmp_path / "facts"), []
+    write = increments._write
+
+    def watched(rows, folder):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        write(rows, folder)
+
+    monkeypatch.setattr(increments, "_write", watched)
+    made = Path(shared_folder(spark).removeprefix("file:")) / "dispatchlens"
+    before = set(made.glob("*/*"))
+    increments.refresh(analysis(spark, [JANUARY]), root)
+    increments.refresh(analysis(spark, [JANUARY, FEBRUARY]), root)
+    assert len(plans) == 2 and not any("Join" in plan or "Aggregate" in plan for plan in plans)
+    assert set(made.glob("*/*")) == before
+    assert [row[:2] for row in stored(spark, root)] == [("2018-01-01", "1"), ("2018-02-01", "2")]
