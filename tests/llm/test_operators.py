@@ -25,6 +25,7 @@ from dispatchlens.llm import (
     queries,
     token_output,
 )
+from dispatchlens.llm.scratch import Scratch
 from dispatchlens.llm.setsketch import likely_similarity, sketch
 from dispatchlens.plans.shared import fresh_path
 
@@ -437,6 +438,24 @@ def test_copies_that_are_never_neighbours(spark):
     }
 
 
+def test_matches_are_deleted_before_the_second_round(spark, monkeypatch):
+    keep, met, held = Scratch.keep, [], []
+
+    def watched(self, frame):
+        if frame.columns == ["key", "doc", "root"]:
+            held.append(met[0] in self.paths.values())
+        table = keep(self, frame)
+        if "before_around" in frame.columns:
+            met.append(self.paths[id(table)])
+        return table
+
+    monkeypatch.setattr(Scratch, "keep", watched)
+    text = " ".join(f"p{k}" for k in range(60))
+    rows = [(n, f"{text} own{n}", "en", "a") for n in range(3)]
+    assert fuzzy_passages.shared_passages(table(spark, rows)).count() == 3
+    assert held and not any(held)
+
+
 def deleted_lines(rows):
     """Every place compared with every earlier place that begins with the same line."""
     texts = [t.split("\n") for _, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))]
